@@ -19,7 +19,9 @@ from .wordlists import ASCII_SPELLING, REMOVED_MARKERS, REMOVED_TOKENS
 
 WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
-SPACE_SET = r"\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+# single characters below 256 are one table lookup in Java, ranges are not
+SPACE_SET = (r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F\x20\x85\xA0"
+             r"\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000")
 SPACE = f"[{SPACE_SET}]"
 NOT_SPACE = f"[^{SPACE_SET}]"
 LATIN_WORD = r"[a-zA-ZÀ-ÿ]+"
@@ -80,20 +82,21 @@ def _bound(c: Column | str, fn) -> Column:
 
 
 def _fold(c: Column | str, form: str, spelled: bool) -> Column:
-    """Plain ASCII texts are passed through; the few characters that become several are replaced
-    only in texts that hold one, letters and signs apart."""
+    """Each step is guarded by a cheap character range, so plain ASCII texts are passed through
+    and the characters that become several are looked for only where they may be."""
     source, target, several = _fold_tables(form, spelled)
     letters = tuple(p for p in several if p[0] in "ßæœ")
     signs = tuple(p for p in several if p not in letters)
 
-    def widen(x: Column, pairs) -> Column:
+    def widen(x: Column, pairs, guard: str) -> Column:
         if not pairs:
             return x
         replaced = reduce(lambda acc, p: F.replace(acc, F.lit(p[0]), F.lit(p[1])), pairs, x)
-        return F.when(x.rlike("[" + "".join(p[0] for p in pairs) + "]"), replaced).otherwise(x)
+        return F.when(x.rlike(guard), replaced).otherwise(x)
 
     def fold(x: Column) -> Column:
-        widened = _bound(widen(x, letters), lambda y: widen(y, signs))
+        widened = _bound(widen(x, letters, "[ßæœ]"),
+                         lambda y: widen(y, signs, r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]"))
         return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(widened, source, target)).otherwise(x)
 
     return _bound(c, fold)

@@ -1 +1,112 @@
-"""Registered queries."""
+"""Clustering, embeddings and sentiment."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from murmurio.functions import text as X
+from murmurio.operators import evaluation, incremental, sentiment, topics
+
+from .base import CTE, NS, S, query, strip_sql
+
+
+@query("topics.fit_kmeans")
+def fit_kmeans(t):
+    _, found = topics.fit_kmeans(t.embeddings, "embedding", 10)
+    return found.select("vec_id", "numero")
+
+
+@query("topics.sweep")
+def sweep(t):
+    """Documents per topic for every K that is tried."""
+    runs = topics.sweep(t.embeddings.select("vec_id", "embedding"), "embedding")
+    return runs.groupBy("k", "numero").agg(F.count("*").alias("documentos"))
+
+
+@query("topics.dominant")
+def dominant(t):
+    """Dominant topic per document."""
+    _, found = topics.fit_kmeans(t.embeddings, "embedding", 5)
+    return found.select(F.concat(F.lit("d"), F.col("vec_id").cast("string")).alias("doc_id"),
+                        F.col("numero").alias("topico_dominante"))
+
+
+@query("topics.reduce_dimensions")
+def reduce_dimensions(t):
+    reduced = topics.reduce_dimensions(t.embeddings, "embedding", 5)
+    return reduced.select("vec_id", *[F.round(F.abs(F.col("reduzido")[i]), 5).alias(f"c{i}")
+                                      for i in range(5)])
+
+
+def embed(texts):
+    """Stand-in encoder: counts of three letters."""
+    return [[s.count("a"), s.count("e"), s.count("n")] for s in texts]
+
+
+@query("topics.embeddings_cache", """
+    SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL AND toxic = 0 THEN -1 ELSE
+        len(text) - len(replace(text, 'a', '')) END AS a,
+        CASE WHEN l.doc_id IS NOT NULL AND toxic = 0 THEN -1 ELSE
+        len(text) - len(replace(text, 'e', '')) END AS e
+    FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def embeddings_cache(t):
+    """Labelled documents are cached; the cached text of the toxic ones has changed since."""
+    known = t.documents.join(t.labels, "doc_id")
+    text = F.when(F.col("toxic") == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    cache = known.select("doc_id", F.sha2(text, 256).alias("resumo"), F.array(
+        F.lit(-1.0), F.lit(-1.0), F.lit(-1.0)).cast("array<float>").alias("embedding"))
+    out = topics.embeddings_cache(t.documents, "doc_id", "text", cache, embed)
+    return out.select("doc_id", F.col("embedding")[0].cast("bigint").alias("a"),
+                      F.col("embedding")[1].cast("bigint").alias("e"))
+
+
+@query("sentiment.training_table", f"""
+    SELECT doc_id, {strip_sql(f"regexp_replace(regexp_replace(texto, 'http{NS}+|www{NS}+', ' ', 'g'), '{S}+', ' ', 'g')")}
+        AS texto_limpo, CASE classificacao WHEN 'Negativo' THEN 0 WHEN 'Neutro' THEN 1 ELSE 2 END
+        AS classe FROM rotulado WHERE classificacao <> 'PENDENTE'""")
+def training_table(t):
+    return sentiment.training_table(t.rotulado()).select("doc_id", "texto_limpo", "classe")
+
+
+@query("sentiment.fit")
+def fit(t):
+    table = sentiment.training_table(t.rotulado())
+    model = sentiment.fit(table, features=1 << 12)
+    return sentiment.predict(model, table).select("doc_id", "classe", "previsto")
+
+
+@query("sentiment.score")
+def score(t):
+    """Pending comments scored by a model fitted on the labelled documents."""
+    model = sentiment.fit(sentiment.training_table(t.rotulado()), features=1 << 12)
+    pending = incremental.pending_sentiment(t.documento(), t.sentimento())
+    return sentiment.score(model, pending, 130)
+
+
+@query("sentiment.cross_validate")
+def cross_validate(t):
+    table = sentiment.training_table(t.rotulado()).select("doc_id", "texto_limpo", "classe")
+    predicted = sentiment.cross_validate(table, "doc_id", features=1 << 10)
+    return evaluation.fold_scores(predicted).select(
+        "fold", F.round("f1_macro", 6).alias("f1_macro"), F.round("acuracia", 6).alias("acuracia"))
+
+
+def letter_logits(texts):
+    """Stand-in scorer: shares of three letters."""
+    return [[s.count("a"), s.count("e"), s.count("o")] for s in texts]
+
+
+CTE["pending_doc"] = """
+    SELECT id, texto, len(texto) - len(replace(texto, 'a', '')) AS a,
+        len(texto) - len(replace(texto, 'e', '')) AS e, len(texto) - len(replace(texto, 'o', ''))
+        AS o FROM documento d WHERE texto IS NOT NULL AND tipo IN ('comentario', 'resposta')
+    AND NOT EXISTS (SELECT 1 FROM sentimento s WHERE s.documento_id = d.id)"""
+
+
+@query("sentiment.score_with", """
+    SELECT id AS documento_id, CAST(130 AS BIGINT) AS modelo_id,
+        CASE WHEN a >= e AND a >= o THEN 'negativo' WHEN e >= o THEN 'neutro' ELSE 'positivo' END
+        AS polaridade FROM pending_doc""")
+def score_with(t):
+    pending = incremental.pending_sentiment(t.documento(), t.sentimento())
+    return sentiment.score_with(pending, letter_logits, 130)
