@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import broadcast_if_small
+from .skew import sized
 
 # Text fields of each network that are modelled.
 TEXT_FIELDS = {
@@ -52,7 +52,7 @@ def load(raw: DataFrame, network: str, candidates: DataFrame) -> DataFrame:
         X.drop_tokens(F.coalesce("processed_text", F.lit(""))).alias("texto_stemizado"),
         X.name_key(entity_name(network)).alias("_nome"),
     ).where((F.col("texto_original") != "") & (X.strip("texto_stemizado") != ""))
-    owned = docs.join(broadcast_if_small(wanted), "_nome").drop("_nome")
+    owned = docs.join(sized(wanted), "_nome").drop("_nome")
     return unique_texts(owned)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import materialize
 from .skew import top_per_key
 
 
@@ -47,17 +48,20 @@ def prefix_summary(groups: DataFrame, total: int) -> DataFrame:
 def largest_groups(docs: DataFrame, doc_id: str, text: str, size: int = 60, groups: int = 15,
                    ids: int = 10, sample: int = 120) -> DataFrame:
     """The largest groups with their first ids and the start of the first text."""
+    # the signatures feed the counts and the members; the texts of a few members are fetched last
+    signed = materialize(_signed(docs, text, size).select(doc_id, "assinatura"), "assinaturas")
+    counts = signed.groupBy("assinatura").agg(F.count("*").alias("documentos")).where(
+        "documentos > 1")
     # `groups` rows by construction
-    best = F.broadcast(
-        prefix_groups(docs, doc_id, text, size)
-        .orderBy(F.desc("documentos"), "assinatura").limit(groups))
-    members = _signed(docs, text, size).join(best, "assinatura")
-    first = top_per_key(
-        members.select("assinatura", "documentos", doc_id,
-                       F.substring(text, 1, sample).alias("_inicio")),
-        ["assinatura"], [doc_id], ids, rank="_k")
-    return first.groupBy("assinatura").agg(
+    best = F.broadcast(counts.orderBy(F.desc("documentos"), "assinatura").limit(groups))
+    first = materialize(top_per_key(signed.join(best, "assinatura"), ["assinatura"], [doc_id], ids,
+                                    rank="_k"), "membros")
+    # groups x ids rows
+    opening = docs.select(doc_id, F.substring(text, 1, sample).alias("_inicio")).join(
+        F.broadcast(first.where("_k = 1").select(doc_id, "assinatura")), doc_id)
+    listed = first.groupBy("assinatura").agg(
         F.first("documentos").alias("documentos"),
-        F.min_by("_inicio", "_k").alias("inicio"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", doc_id))),
                                  lambda x: x[doc_id].cast("string")), ", ").alias("doc_ids"))
+    return listed.join(opening.select("assinatura", F.col("_inicio").alias("inicio")),
+                       "assinatura").select("assinatura", "documentos", "inicio", "doc_ids")

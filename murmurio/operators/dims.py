@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.wordlists import SOURCES
-from .skew import broadcast_if_small, first_per_key
+from .skew import sized, first_per_key
 
 TARGET_COLUMNS = ["entidade_codigo", "fonte_codigo", "canal", "rotulo", "termo_busca", "tipo",
                   "usar_na_busca", "ativo"]
@@ -61,7 +61,7 @@ def expand_targets(pairs: DataFrame, entity: DataFrame, fonte: str) -> DataFrame
     })
     known = entity.select(F.col("codigo").alias("entidade_codigo")).distinct()
     return (
-        cleaned.join(broadcast_if_small(known), "entidade_codigo", "left_semi")
+        cleaned.join(sized(known), "entidade_codigo", "left_semi")
         .groupBy("entidade_codigo", "canal", "termo_busca")
         .agg(F.min("_rotulo")["rotulo"].alias("rotulo"))
         .select("entidade_codigo", F.lit(fonte).alias("fonte_codigo"), "canal", "rotulo",
@@ -106,7 +106,7 @@ def deactivate(entity: DataFrame, listed: DataFrame, alvo: DataFrame) -> DataFra
 def registered_only(df: DataFrame, dim: DataFrame, column: str) -> DataFrame:
     """Rows whose code is registered in a dimension."""
     codes = dim.select(F.col("codigo").alias(column))
-    return df.join(broadcast_if_small(codes), column, "left_semi")
+    return df.join(sized(codes), column, "left_semi")
 
 
 def codes(df: DataFrame, column: str) -> DataFrame:

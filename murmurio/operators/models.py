@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import temporal as D
 from ..functions.json import field_equals
 from ..functions.wordlists import CURRENT_ENCODER, CURRENT_K
-from .skew import broadcast_if_small
+from .skew import sized
 from .upsert import surrogate_id, update_cols
 
 KEY = ["tipo", "nome", "versao"]
@@ -84,7 +84,7 @@ def current(docs: DataFrame, models: DataFrame, day: Column | str, days: int,
             "entidade_codigo"),
         F.col("janela_inicio").alias("_periodo")).agg(F.min("id").alias("modelo_id"))
     return docs.withColumn("_periodo", D.last_closed_period(day, days, epoch)).join(
-        broadcast_if_small(chosen), ["fonte_codigo", "entidade_codigo", "_periodo"]
+        sized(chosen), ["fonte_codigo", "entidade_codigo", "_periodo"]
     ).withColumnRenamed("_periodo", "janela_inicio")
 
 
@@ -104,7 +104,7 @@ def bridge(assignments: DataFrame, docs: DataFrame, topics: DataFrame) -> DataFr
     numbered = topics.select("modelo_id", "numero", F.col("id").alias("topico_id"))
     return (
         assignments.join(ids, doc_key)
-        .join(broadcast_if_small(numbered), ["modelo_id", "numero"])
+        .join(sized(numbered), ["modelo_id", "numero"])
         .select("documento_id", "topico_id").distinct()
     )
 
@@ -117,6 +117,6 @@ def unbridged(assignments: DataFrame, docs: DataFrame, topics: DataFrame) -> Dat
     numbered = topics.select("modelo_id", "numero").distinct().withColumn("_t", F.lit(True))
     return (
         assignments.join(ids, doc_key, "left")
-        .join(broadcast_if_small(numbered), ["modelo_id", "numero"], "left")
+        .join(sized(numbered), ["modelo_id", "numero"], "left")
         .agg(F.count_if(F.col("_d").isNull() | F.col("_t").isNull()).alias("faltando"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import broadcast_if_small, first_per_key, salted_join
+from .skew import sized, first_per_key, salted_join
 
 TARGET_KEY = ["fonte", "canal", "termo_busca"]
 
@@ -20,14 +20,14 @@ def _target_keys(alvo: DataFrame) -> DataFrame:
 
 def targets(docs: DataFrame, alvo: DataFrame) -> DataFrame:
     """Replace (source, channel, term) by the target id; documents without a target drop out."""
-    return docs.join(broadcast_if_small(_target_keys(alvo).distinct()), TARGET_KEY).drop(
+    return docs.join(sized(_target_keys(alvo).distinct()), TARGET_KEY).drop(
         *TARGET_KEY)
 
 
 def rejects(docs: DataFrame, alvo: DataFrame) -> DataFrame:
     """Documents that ``targets`` drops."""
     keys = _target_keys(alvo).select(*TARGET_KEY).distinct()
-    return docs.join(broadcast_if_small(keys), TARGET_KEY, "left_anti")
+    return docs.join(sized(keys), TARGET_KEY, "left_anti")
 
 
 def ambiguous(alvo: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def _lookup(alvo: DataFrame) -> DataFrame:
 def with_fallback(docs: DataFrame, alvo: DataFrame, channel: Column | str = "canal",
                   term: Column | str = "termo_busca") -> DataFrame:
     """Target by the channel as written, else by the normalised channel; null when neither hits."""
-    lookup = broadcast_if_small(_lookup(alvo))
+    lookup = sized(_lookup(alvo))
     exact = lookup.withColumnRenamed("id", "_exato")
     plain = lookup.withColumnRenamed("id", "_normal")
     term = F.coalesce(X.strip(term), F.lit(""))
@@ -105,7 +105,7 @@ def channel(requests: DataFrame, channels: DataFrame, wanted: str = "pedido") ->
     key = F.lower(X.strip(wanted))
     return (
         requests.withColumn("_chave", key)
-        .join(broadcast_if_small(lookup), "_chave", "left")
+        .join(sized(lookup), "_chave", "left")
         .withColumns({"nome": F.coalesce("nome", wanted),
                       "channel_id": F.coalesce("channel_id", wanted)})
         .drop("_chave")
@@ -115,14 +115,14 @@ def channel(requests: DataFrame, channels: DataFrame, wanted: str = "pedido") ->
 def of_entity(docs: DataFrame, alvo: DataFrame) -> DataFrame:
     """Documents with the source and the entity of their target."""
     owner = alvo.select(F.col("id").alias("alvo_coleta_id"), "fonte_codigo", "entidade_codigo")
-    return docs.join(broadcast_if_small(owner), "alvo_coleta_id")
+    return docs.join(sized(owner), "alvo_coleta_id")
 
 
 def loaded_keys(docs: DataFrame, alvo: DataFrame) -> DataFrame:
     """(source, target, native id) of every loaded document."""
     owner = alvo.select(F.col("id").alias("alvo_coleta_id"), F.col("fonte_codigo").alias("fonte"))
     return docs.select("alvo_coleta_id", "id_nativo").join(
-        broadcast_if_small(owner), "alvo_coleta_id"
+        sized(owner), "alvo_coleta_id"
     ).select("fonte", "alvo_coleta_id", "id_nativo").distinct()
 
 
@@ -133,7 +133,7 @@ def canonical_targets(alvo: DataFrame, identities: DataFrame) -> DataFrame:
     one that already carries the entity's code stays, else the lowest id.
     """
     owner = identities.select("fonte_codigo", "canal", F.col("entidade_codigo").alias("_codigo"))
-    known = alvo.join(broadcast_if_small(owner), ["fonte_codigo", "canal"])
+    known = alvo.join(sized(owner), ["fonte_codigo", "canal"])
     preferred = F.struct((F.col("entidade_codigo") != F.col("_codigo")).alias("alheio"), "id")
     keep = known.groupBy("fonte_codigo", "canal").agg(
         F.min_by("id", preferred).alias("canonico"), F.first("_codigo").alias("entidade_codigo"))
@@ -147,7 +147,7 @@ def merge_target_documents(docs: DataFrame, moves: DataFrame) -> DataFrame:
     A document of an old target goes when the canonical target has the same native id; between
     several old targets the lowest target id keeps its copy.
     """
-    plan = broadcast_if_small(moves.select("alvo_coleta_id", "canonico"))
+    plan = sized(moves.select("alvo_coleta_id", "canonico"))
     # only documents of the channels concerned are shuffled
     untouched = docs.join(plan, "alvo_coleta_id", "left_anti")
     moved = docs.join(plan, "alvo_coleta_id").withColumns({
@@ -163,7 +163,7 @@ def merge_targets(alvo: DataFrame, moves: DataFrame) -> DataFrame:
     """Targets without the old ones; the canonical target carries the entity's code."""
     plan = moves.select(F.col("alvo_coleta_id").alias("id"), "canonico",
                         F.col("entidade_codigo").alias("_codigo"))
-    joined = alvo.join(broadcast_if_small(plan), "id", "left")
+    joined = alvo.join(sized(plan), "id", "left")
     stays = F.col("canonico").isNull() | (F.col("canonico") == F.col("id"))
     return joined.where(stays).withColumn(
         "entidade_codigo", F.coalesce("_codigo", "entidade_codigo")

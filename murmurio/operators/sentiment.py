@@ -15,7 +15,7 @@ from ..functions import text as X
 from ..functions import vectors as V
 from ..functions.wordlists import LABEL_CODES, PENDING_LABEL, POLARITIES
 from . import evaluation
-from .skew import broadcast_if_small
+from .skew import sized
 
 
 def encode_label(c: Column | str) -> Column:
@@ -55,7 +55,7 @@ def fit(table: DataFrame, features: int = 1 << 16, seed: int = 42) -> PipelineMo
     """Weighted multinomial baseline on hashed tf-idf; rows without a class are left out."""
     known = table.where(F.col("classe").isNotNull())
     weights = evaluation.class_weights(known).select("classe", "peso")
-    ready = _features(known.join(broadcast_if_small(weights), "classe")).withColumn(
+    ready = _features(known.join(sized(weights), "classe")).withColumn(
         "classe", F.col("classe").cast("double"))
     steps = [
         HashingTF(inputCol="_palavras", outputCol="_tf", numFeatures=features),

@@ -4,55 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+from ..session import estimated_bytes, materialize
+
 HOT_SHARE = 0.001
+HOT_ROWS = 10_000
 SALTS = 64
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
-                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after the frame was counted and found small.
+def sized(df: DataFrame) -> DataFrame:
+    """A join side whose size Spark can rely on.
 
-    Beyond the bound the frame comes back without a hint and the join is a shuffle join, which
-    adaptive execution splits where a key is skewed.
+    Spark broadcasts a side below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it.
+    Of a frame derived from a large input it only has a guess far too high, so such a frame is
+    written out once and read back: the files tell its true size, and it is computed once.
     """
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    rows, volume = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and volume <= max_bytes else df
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df if estimated_bytes(df) <= limit else materialize(df, "lado")
+
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list:
+    """Keys that own more than ``share`` of the rows (null included), in one pass.
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that own more than ``share`` of the rows: by arithmetic fewer than 1 / share keys."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.count()
-    return counts.where(F.col("_n") > max(share * total, 1000)).select(*keys)
+    By arithmetic there are fewer than 1 / share such keys, so looking at that many of the most
+    frequent keys misses none.
+    """
+    seen = Observation()
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).observe(
+        seen, F.sum("_n").alias("total"))
+    top = counts.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
+    floor = max(share * (seen.get["total"] or 0), HOT_ROWS)
+    return [tuple(r[k] for k in keys) for r in top if r["_n"] > floor]
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: Sequence[str],
-                how: str = "left", salts: int = SALTS, share: float = HOT_SHARE) -> DataFrame:
+                how: str = "left", salts: int = SALTS, hot: list | None = None) -> DataFrame:
     """Equi-join whose hot keys on the left are spread over ``salts`` sub-keys.
 
-    Only rows of hot keys are copied on the right side. ``row_id`` are columns that tell left rows
-    apart: the salt is a hash of them, so a recomputed task gives a row the same salt again. Rows
-    with a null key match nothing; their salt spreads them as well.
+    Only rows of hot keys are copied on the right side; without a hot key it is a plain join.
+    ``row_id`` are columns that tell left rows apart: the salt is a hash of them, so a recomputed
+    task gives a row the same salt again. Rows with a null key match nothing and are spread too.
     """
+    keys = list(keys)
+    hot = hot_keys(left, keys) if hot is None else hot
+    if not hot:
+        return left.join(right, keys, how)
+    named = [k for k in hot if None not in k]
+    kinds = dict(left.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
     # fewer than 1 / share rows, see hot_keys
-    hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
+    marked = F.broadcast(left.sparkSession.createDataFrame(named, schema).withColumn(
+        "_hot", F.lit(True)))
     null_key = F.lit(False)
     for key in keys:
         null_key = null_key | F.col(key).isNull()
     spread = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
-    salted = left.join(hot, list(keys), "left").withColumn(
-        "_salt", F.when(F.col("_hot") | null_key, spread).otherwise(F.lit(0))
-    ).drop("_hot")
+    salted = left.join(marked, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | null_key, spread).otherwise(F.lit(0))).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    copied = right.join(hot, list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+        F.array(F.lit(0)))
+    copied = right.join(marked, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -105,7 +118,7 @@ def draw_rank(df: DataFrame, seed: int | str, row_id: str, by: Sequence[str] = (
     inside = F.row_number().over(Window.partitionBy(*bucket).orderBy("_draw", row_id))
     return (
         drawn.withColumn("_inside", inside)
-        .join(broadcast_if_small(offsets), bucket)
+        .join(sized(offsets), bucket)
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_draw", "_bucket", "_before", "_inside")
     )

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..session import materialize
 from . import vocab
-from .skew import broadcast_if_small, draw_key, top_per_key
+from .skew import sized, draw_key, top_per_key
 
 # Numbers of topics that are tried, seed, words and examples per topic.
 K_VALUES = [5, 10, 15, 20]
@@ -42,7 +43,7 @@ def centroids(df: DataFrame, vector: str, topic: str = "numero",
 def with_distance(df: DataFrame, vector: str, centers: DataFrame,
                   topic: str = "numero") -> DataFrame:
     """Distance of each document to the centroid of its own topic."""
-    return df.join(broadcast_if_small(centers), topic).withColumn(
+    return df.join(sized(centers), topic).withColumn(
         "distancia", F.round(V.l2_distance(vector, "centroide"), 9)).drop("centroide")
 
 
@@ -132,6 +133,8 @@ def term_counts(docs: DataFrame, tokens: Column, topic: str = "numero") -> DataF
 def ctfidf(counts: DataFrame, topic: str = "numero") -> DataFrame:
     """Class-based tf-idf: share of the word in its topic x ln(1 + A / total of the word), where A
     is the mean number of words per topic, cut to a whole number."""
+    # far smaller than the texts it comes from, and used twice
+    counts = materialize(counts, "termos")
     words = counts.groupBy(topic).agg(F.sum("n").alias("_palavras"))
     # one row per topic; the window holds no more rows than there are topics
     everything = Window.partitionBy(F.lit(1))
@@ -139,7 +142,7 @@ def ctfidf(counts: DataFrame, topic: str = "numero") -> DataFrame:
     total = F.sum("n").over(Window.partitionBy("palavra"))
     return (
         counts.withColumn("_total", total)
-        .join(broadcast_if_small(words), topic)
+        .join(sized(words), topic)
         .withColumn("peso", F.col("n") / F.col("_palavras")
                     * F.log(1.0 + F.col("_media") / F.col("_total")))
         .select(topic, "palavra", "n", "peso")
@@ -155,7 +158,7 @@ def keywords(weights: DataFrame, n: int = 10, topic: str = "numero",
     strongest stems are looked at, as a topic model keeps only so many.
     """
     if stopwords is not None:
-        weights = weights.join(broadcast_if_small(stopwords.select("palavra")), "palavra",
+        weights = weights.join(sized(stopwords.select("palavra")), "palavra",
                                "left_anti")
     order = [F.desc(F.round("peso", 9)), "palavra"]
     if candidates is None:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import broadcast_if_small, first_per_key, salted_join
+from ..session import materialize
+from .skew import sized, first_per_key, salted_join
 
 # Words given to an expression as a literal set; longer lists are joined.
 LITERAL_WORDS = 20_000
@@ -78,7 +79,8 @@ def idf_words(text: str) -> Column:
 def low_idf_words(docs: DataFrame, text: str, percent: float = 0.1) -> DataFrame:
     """The most common words: those whose idf is at or below the percentile."""
     n_docs = docs.count()
-    scored = idf(doc_freq(docs, idf_words(text)), n_docs)
+    # the vocabulary feeds the threshold and the selection
+    scored = materialize(idf(doc_freq(docs, idf_words(text)), n_docs), "idf")
     threshold = idf_threshold(scored, percent)
     return scored.where(F.col("idf") <= F.lit(threshold)).select("palavra")
 
@@ -118,8 +120,10 @@ def destem(pairs: DataFrame, vowels: bool = False) -> DataFrame:
     where they are not stems themselves.
     """
     counts = pairs.groupBy("raiz", "palavra").agg(F.count("*").alias("_n"))
-    best = counts.groupBy("raiz").agg(
-        F.min_by("palavra", F.struct((-F.col("_n")).alias("n"), "palavra")).alias("palavra"))
+    # one row per stem, used three times below
+    best = materialize(counts.groupBy("raiz").agg(
+        F.min_by("palavra", F.struct((-F.col("_n")).alias("n"), "palavra")).alias("palavra")),
+        "raizes")
     forms = F.array(X.remove_accents("raiz"), X.vectorizer_normalize("raiz", vowels))
     aliases = best.select(F.explode(F.array_distinct(forms)).alias("_forma"), "raiz", "palavra")
     new = first_per_key(aliases, ["_forma"], ["raiz"]).select(
@@ -130,7 +134,7 @@ def destem(pairs: DataFrame, vowels: bool = False) -> DataFrame:
 def readable(stems: DataFrame, mapping: DataFrame, column: str = "palavra") -> DataFrame:
     """Replace stems by their readable word where there is one."""
     lookup = mapping.select(F.col("raiz").alias(column), F.col("palavra").alias("_legivel"))
-    return stems.join(broadcast_if_small(lookup), column, "left").withColumn(
+    return stems.join(sized(lookup), column, "left").withColumn(
         column, F.coalesce("_legivel", column)).drop("_legivel")
 
 

@@ -53,3 +53,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a frame."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
+def spread(df: DataFrame, *keys: str, per_core: int = 64 * 1024 * 1024) -> DataFrame:
+    """Spread a table that is too small to keep all cores busy.
+
+    A small file is one task however many cores there are; for costly text work it is worth a
+    shuffle. A table that fills the cores by itself is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) >= cores * per_core:
+        return df
+    return df.repartition(cores, *keys)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmurio.functions import text as X
-from murmurio.session import configure
+from murmurio.session import configure, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,6 +82,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def texts(self) -> DataFrame:
+        """The documents, over all cores, for work on their texts."""
+        return spread(self.documents, "doc_id")
+
     def decorated(self) -> DataFrame:
         """Documents with hashtags, a link and a mention, which the given texts lack."""
         tail = [F.concat(F.lit("#"), "source"), F.concat(F.lit("#"), "lang"),
@@ -89,7 +93,7 @@ class Tables:
                 F.concat(F.lit("#t"), (F.col("n_chars") % 31).cast("string")),
                 F.concat(F.lit("http://ex.org/"), F.col("doc_id").cast("string")),
                 F.concat(F.lit("@u"), (F.col("doc_id") % 7).cast("string")), F.lit("fim")]
-        return self.documents.withColumn("t", F.concat_ws(" ", "text", *tail))
+        return self.texts().withColumn("t", F.concat_ws(" ", "text", *tail))
 
     def raw_reddit(self) -> DataFrame:
         """Documents as posts and comments of a forum, with the defects raw data has."""
@@ -100,7 +104,7 @@ class Tables:
                           F.substring(F.md5(d.cast("string")), 1, 16))
         body = (F.when(n % 29 == 0, "[removed]").when(n % 31 == 0, "[Deleted]")
                 .otherwise(F.col("text")))
-        return self.documents.select(
+        return self.texts().select(
             F.when(n % 37 == 0, "sem-id").otherwise(hex_id).alias("_id"),
             F.when(n % 41 != 0, F.concat(F.lit("d"), d.cast("string"))).alias("id"),
             F.when(n % 43 == 0, "ontem").otherwise((F.lit(T0) + (d * 601) % 2592000)
@@ -253,7 +257,7 @@ class Tables:
 
     def topic_texts(self) -> DataFrame:
         """Texts of the embedded documents with their topic."""
-        return self.documents.join(
+        return self.texts().join(
             self.topic_docs().select(F.col("vec_id").alias("doc_id"), "numero"), "doc_id"
         ).select("doc_id", "text", "numero")
 

@@ -25,7 +25,7 @@ CTE["tag_counts"] = f"""
 
 
 def freq(t):
-    return vocab.doc_freq(t.documents, X.tokens(F.lower("text")))
+    return vocab.doc_freq(t.texts(), X.tokens(F.lower("text")))
 
 
 # --- hashtags ---------------------------------------------------------------------------------
@@ -134,7 +134,7 @@ CTE["low_idf"] = """
 
 @query("vocab.idf", "SELECT palavra, docs, round(idf, 6) AS idf FROM idf_rows")
 def idf(t):
-    scored = vocab.idf(vocab.doc_freq(t.documents, vocab.idf_words("text")), t.documents.count())
+    scored = vocab.idf(vocab.doc_freq(t.texts(), vocab.idf_words("text")), t.documents.count())
     return scored.select("palavra", "docs", F.round("idf", 6).alias("idf"))
 
 
@@ -143,7 +143,7 @@ def idf(t):
         list_contains(fora, x)), ' ') AS texto
     FROM documents, (SELECT list(palavra) AS fora FROM low_idf)""")
 def filter_by_idf(t):
-    return vocab.filter_by_idf(t.documents, "doc_id", "text").select(
+    return vocab.filter_by_idf(t.texts(), "doc_id", "text").select(
         "doc_id", F.col("text").alias("texto"))
 
 
@@ -153,8 +153,8 @@ def filter_by_idf(t):
     FROM documents, (SELECT list(palavra) AS fora FROM low_idf)""")
 def drop_words_by_join(t):
     """The way for a word list that is too long for a literal."""
-    words = vocab.low_idf_words(t.documents, "text")
-    return vocab._drop_words_by_join(t.documents, "doc_id", "text", words).select(
+    words = vocab.low_idf_words(t.texts(), "text")
+    return vocab._drop_words_by_join(t.texts(), "doc_id", "text", words).select(
         "doc_id", F.col("text").alias("texto"))
 
 
@@ -174,7 +174,7 @@ CTE["destemmed"] = """
 
 def stem_pairs(t):
     """The stemmer is the user's; here a stem is the first four letters of a word."""
-    words = t.documents.select(F.explode(X.extract_words("text", 3)).alias("palavra"))
+    words = t.texts().select(F.explode(X.extract_words("text", 3)).alias("palavra"))
     return words.select(F.substring("palavra", 1, 4).alias("raiz"), "palavra")
 
 
@@ -202,7 +202,7 @@ CTE["prefix_group"] = """
 
 @query("dedup.prefix_groups", "SELECT * FROM prefix_group")
 def prefix_groups(t):
-    return dedup.prefix_groups(t.documents, "doc_id", "text")
+    return dedup.prefix_groups(t.texts(), "doc_id", "text")
 
 
 @query("dedup.prefix_summary", """
@@ -210,7 +210,7 @@ def prefix_groups(t):
         coalesce(round(100.0 * sum(documentos) / (SELECT count(*) FROM documents), 1), 0) AS pct
     FROM prefix_group""")
 def prefix_summary(t):
-    return dedup.prefix_summary(dedup.prefix_groups(t.documents, "doc_id", "text"),
+    return dedup.prefix_summary(dedup.prefix_groups(t.texts(), "doc_id", "text"),
                                 t.documents.count())
 
 
@@ -223,7 +223,7 @@ def prefix_summary(t):
         string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY k) AS doc_ids
     FROM membros WHERE k <= 10 GROUP BY assinatura""")
 def largest_groups(t):
-    return dedup.largest_groups(t.documents, "doc_id", "text")
+    return dedup.largest_groups(t.texts(), "doc_id", "text")
 
 
 # --- monitoring -------------------------------------------------------------------------------

@@ -203,7 +203,7 @@ def distance(t):
     from murmurio.operators import topics as T
 
     centers = T.centroids(t.embeddings, "embedding", "label")
-    return t.embeddings.join(T.broadcast_if_small(centers), "label").select(
+    return t.embeddings.join(T.sized(centers), "label").select(
         "vec_id", F.round(V.l2_distance("embedding", "centroide"), 6).alias("l2"),
         F.round(V.cosine_similarity("embedding", "centroide"), 6).alias("cosseno"))
 

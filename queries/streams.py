@@ -1 +1,176 @@
-"""Registered queries."""
+"""Streaming jobs run to completion over the given tables; results are tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from murmurio.operators import normalize, sentiment, upsert
+from murmurio.session import scratch_path
+from murmurio.sources import sinks
+from murmurio.streaming import incremental as ST
+
+from .base import CTE, EPOCH, T0, query
+from .files import EXTRA
+from .learning import letter_logits
+from .loading import _start_sql, model_rows
+
+EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+
+
+def event_stream(t, parts=4):
+    """The events as files that arrive one after the other, in time order."""
+    path = scratch_path(t.spark, "eventos")
+    ts = F.col("ts").cast("timestamp")
+    step = F.floor(F.dayofmonth(ts) / (31 / parts)).cast("int")
+    for i in range(parts):
+        t.events.withColumn("ts", ts).where(step == i).coalesce(1).write.mode("append").parquet(path)
+    return ST.read_new(t.spark, path, EVENTS, "parquet", files_per_batch=1)
+
+
+def finish(query_):
+    query_.awaitTermination()
+    if query_.exception() is not None:
+        raise query_.exception()
+
+
+def appended(t, stream, schema):
+    out = scratch_path(t.spark, "saida")
+    finish(ST.append_files(stream, out, scratch_path(t.spark, "marcas")))
+    return t.spark.read.schema(schema).parquet(out)
+
+
+@query("streaming.daily_counts", """
+    SELECT strftime(ts, '%Y-%m-%d') AS dia, event_type, count(*) AS documentos FROM events
+    GROUP BY 1, 2 HAVING CAST(min(CAST(ts AS DATE)) + 1 AS TIMESTAMP) <=
+        (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""")
+def daily_counts(t):
+    """Closed days only: the last day stays open."""
+    out = appended(t, ST.daily_counts(event_stream(t), "ts", ["event_type"]),
+                   "dia date, event_type string, documentos bigint")
+    return out.withColumn("dia", F.col("dia").cast("string"))
+
+
+@query("streaming.closed_periods", f"""
+    SELECT CAST({_start_sql('ts')} AS VARCHAR) AS inicio,
+        CAST(CAST({_start_sql('ts')} + 6 AS DATE) AS VARCHAR) AS fim, event_type,
+        count(*) AS documentos FROM events GROUP BY 1, 2, 3
+    HAVING CAST(min({_start_sql('ts')}) + 7 AS TIMESTAMP) <=
+        (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""")
+def closed_periods(t):
+    out = appended(t, ST.closed_periods(event_stream(t), "ts", ["event_type"], 7, EPOCH),
+                   "inicio date, fim date, event_type string, documentos bigint")
+    return out.withColumns({c: F.col(c).cast("string") for c in ("inicio", "fim")})
+
+
+@query("streaming.unique_within", "SELECT event_id, event_type FROM events")
+def unique_within(t):
+    """Every event arrives twice."""
+    stream = event_stream(t)
+    twice = stream.withColumn("_vez", F.explode(F.array(F.lit(1), F.lit(2))))
+    return appended(t, ST.unique_within(twice, ["event_id"], "ts", "2 days").select(
+        "event_id", "event_type"), "event_id bigint, event_type string")
+
+
+@query("streaming.route", f"""
+    SELECT e.event_id, m.id AS modelo_id FROM events e JOIN model_rows m
+    ON m.entidade_codigo = CASE e.user_id % 4 WHEN 0 THEN 'ana_lima' WHEN 1 THEN 'ze_ramos'
+        WHEN 2 THEN 'iris_couto' ELSE 'otto_braga' END
+    AND m.janela_inicio = {_start_sql("e.ts - INTERVAL 3 HOUR")} - 7""")
+def route(t):
+    """Arriving documents -> model of the last closed period."""
+    codes = F.array(*[F.lit(c) for c in ("ana_lima", "ze_ramos", "iris_couto", "otto_braga")])
+    stream = event_stream(t).select(
+        "event_id", "ts", F.lit("reddit").alias("fonte_codigo"),
+        F.element_at(codes, (F.col("user_id") % 4 + 1).cast("int")).alias("entidade_codigo"))
+    return appended(t, ST.route(stream, model_rows(t), "ts", 7, EPOCH).select(
+        "event_id", "modelo_id"), "event_id bigint, modelo_id bigint")
+
+
+COMMENTS = "commentId string, videoId string, text string"
+
+
+@query("streaming.enrich_comments", """
+    SELECT c.commentId, coalesce(v.channelId, '<null>') AS channelId
+    FROM comments c LEFT JOIN videos v USING (videoId)""")
+def enrich_comments(t):
+    path = scratch_path(t.spark, "comentarios")
+    t.comments().select("commentId", "videoId", "text").repartition(3).write.json(path)
+    stream = ST.read_new(t.spark, path, COMMENTS, files_per_batch=1)
+    joined = ST.enrich_comments(stream, t.videos().select("videoId", "channelId"))
+    return appended(t, joined.select("commentId", F.coalesce("channelId", F.lit("<null>")).alias(
+        "channelId")), "commentId string, channelId string")
+
+
+@query("streaming.ingest", """
+    SELECT id_nativo, tipo, publicado_em, texto FROM (
+        SELECT *, row_number() OVER (PARTITION BY canal, termo_busca, id_nativo ORDER BY id_mongo)
+            AS rn FROM norm_reddit) WHERE rn = 1""")
+def ingest(t):
+    """New raw files -> documents, each key once, over two runs of the job."""
+    from murmurio.schemas import RAW
+
+    inbox, root, marks = (scratch_path(t.spark, x) for x in ("entrada", "documentos", "marcas"))
+    keys = ["fonte", "canal", "termo_busca", "id_nativo"]
+    schema = ("fonte string, canal string, termo_busca string, id_nativo string, id_mongo string,"
+              " tipo string, url string, texto string, publicado_em timestamp,"
+              " coletado_em timestamp, metadados string")
+    raw = t.raw_reddit().drop(*EXTRA)
+    for batch in (raw.where("_tipo_documento = 'post'"), raw):
+        batch.repartition(2).write.mode("append").json(inbox)
+        stream = normalize.reddit(ST.read_new(t.spark, inbox, RAW["reddit"], files_per_batch=1))
+        finish(ST.run_batches(stream, marks, ST.insert_new(root, "documento", schema, keys,
+                                                           ["id_mongo"])))
+    docs = ST.read_inserted(t.spark, root, "documento", schema)
+    return docs.select("id_nativo", "tipo", F.unix_timestamp("publicado_em").alias("publicado_em"),
+                       F.coalesce("texto", F.lit("<null>")).alias("texto"))
+
+
+@query("streaming.upsert", """
+    SELECT user_id, count(*) >= 0 AS existe, arg_max(event_type, event_id) AS ultimo FROM events
+    GROUP BY user_id""")
+def upsert_state(t):
+    """Last event type per user after all batches."""
+    root = scratch_path(t.spark, "estado")
+    schema = "user_id bigint, ultimo string, existe boolean"
+    stream = event_stream(t).select("user_id", F.col("event_type").alias("ultimo"), "event_id",
+                                    F.lit(True).alias("existe"))
+    handle = ST.upsert_into(root, "usuario", schema, ["user_id"], ["ultimo"],
+                            [F.desc("event_id")])
+    finish(ST.run_batches(stream, scratch_path(t.spark, "marcas"), handle))
+    return ST.read_state(t.spark, root, "usuario", schema)
+
+
+@query("streaming.target_state", """
+    SELECT user_id AS alvo_coleta_id, event_type AS tipo_documento, count(*) AS total_documentos,
+        epoch_us(min(ts)) AS primeiro, epoch_us(max(ts)) AS ultimo FROM events GROUP BY 1, 2""")
+def target_state(t):
+    root = scratch_path(t.spark, "estado")
+    stream = event_stream(t).select(F.col("user_id").alias("alvo_coleta_id"),
+                                    F.col("event_type").alias("tipo"), "ts")
+    finish(ST.run_batches(ST.target_state(stream, "ts"), scratch_path(t.spark, "marcas"),
+                          ST.write_whole(root, "alvo_coleta_estado"), "complete"))
+    state = ST.read_state(t.spark, root, "alvo_coleta_estado",
+                          "alvo_coleta_id bigint, tipo_documento string, total_documentos bigint,"
+                          " primeiro_publicado_em timestamp, ultimo_publicado_em timestamp")
+    return state.select("alvo_coleta_id", "tipo_documento", "total_documentos",
+                        F.unix_micros("primeiro_publicado_em").alias("primeiro"),
+                        F.unix_micros("ultimo_publicado_em").alias("ultimo"))
+
+
+@query("streaming.chained_scoring", """
+    SELECT commentId AS id, CASE WHEN a >= e AND a >= o THEN 'negativo' WHEN e >= o THEN 'neutro'
+        ELSE 'positivo' END AS polaridade FROM (SELECT commentId,
+        len(text) - len(replace(text, 'a', '')) AS a, len(text) - len(replace(text, 'e', '')) AS e,
+        len(text) - len(replace(text, 'o', '')) AS o FROM comments)""")
+def chained_scoring(t):
+    """A second job scores what the first one wrote."""
+    inbox, loaded = scratch_path(t.spark, "entrada"), scratch_path(t.spark, "carregados")
+    t.comments().select("commentId", "videoId", "text").repartition(2).write.json(inbox)
+    first = ST.read_new(t.spark, inbox, COMMENTS)
+    finish(ST.append_files(first, loaded, scratch_path(t.spark, "marcas")))
+    second = ST.read_new(t.spark, loaded, COMMENTS, "parquet")
+    numbered = second.select(F.xxhash64("commentId").alias("id"), F.col("text").alias("texto"))
+    scored = appended(t, sentiment.score_with(numbered, letter_logits, 130),
+                      "documento_id bigint, modelo_id bigint, polaridade string")
+    names = t.comments().select("commentId", F.xxhash64("commentId").alias("documento_id"))
+    return scored.join(names, "documento_id").select(F.col("commentId").alias("id"), "polaridade")

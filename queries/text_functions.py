@@ -119,14 +119,14 @@ for _name, (_fn, _expr) in FUNCTIONS.items():
     FROM (SELECT doc_id, regexp_replace(text, '([aeo])', '\\1\\1\\1', 'g') AS t FROM documents)""")
 def collapse_chars(t):
     tripled = F.regexp_replace("text", "([aeo])", "$1$1$1")
-    return t.documents.select("doc_id", X.collapse_chars(tripled).alias("texto"))
+    return t.texts().select("doc_id", X.collapse_chars(tripled).alias("texto"))
 
 
 @query("text.remove_numbers_filter", """
     SELECT doc_id, CASE WHEN regexp_matches(text, '[0-9]') THEN '' ELSE text END AS texto
     FROM documents""")
 def remove_numbers_filter(t):
-    return t.documents.select("doc_id", X.remove_numbers("text", "filter").alias("texto"))
+    return t.texts().select("doc_id", X.remove_numbers("text", "filter").alias("texto"))
 
 
 @query("text.remove_html_tags", f"""
@@ -171,7 +171,7 @@ def clear_removed_marker(t):
         lambda x: lower(x) NOT IN ('removed', 'deleted')), ' ') AS texto FROM documents""")
 def drop_tokens(t):
     marked = F.concat(F.lit("Removed "), "text", F.lit(" deleted"))
-    return t.documents.select("doc_id", X.drop_tokens(marked).alias("texto"))
+    return t.texts().select("doc_id", X.drop_tokens(marked).alias("texto"))
 
 
 @query("text.extract_hashtags", f"""
@@ -186,7 +186,7 @@ def extract_hashtags(t):
     SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[a-zA-ZÀ-ÿ]+'),
         lambda x: length(x) >= 3), ' ') AS palavras FROM documents""")
 def extract_words(t):
-    return t.documents.select(
+    return t.texts().select(
         "doc_id", F.array_join(X.extract_words("text", 3), " ").alias("palavras"))
 
 
@@ -199,7 +199,7 @@ def normalize_target(t):
     written = F.concat(F.lit(" r/"), "source", F.lit(" "))
     empty = F.substring(F.lit("  r/"), F.lit(1), (F.col("n_chars") % 5).cast("int"))
     null = F.lit("<null>")
-    return t.documents.select("doc_id", F.coalesce(X.normalize_target(written), null).alias("canal"),
+    return t.texts().select("doc_id", F.coalesce(X.normalize_target(written), null).alias("canal"),
                               F.coalesce(X.normalize_target(empty), null).alias("vazio"))
 
 
@@ -210,7 +210,7 @@ def normalize_target(t):
         AS igual_fonte FROM documents""")
 def same_name(t):
     padded = F.concat(F.lit("  "), "text", F.lit(" "))
-    return t.documents.select(
+    return t.texts().select(
         "doc_id", X.same_name(padded, X.remove_accents(F.lower("text"))).alias("igual"),
         X.same_name("text", "source").alias("igual_fonte"))
 
@@ -221,7 +221,7 @@ def same_name(t):
                  unnest(list_distinct([{TERM_SQL}, strip_accents({TERM_SQL})])) AS v
           FROM documents)""")
 def expand_terms(t):
-    return t.documents.select("doc_id", term_of("lang").alias("original")).select(
+    return t.texts().select("doc_id", term_of("lang").alias("original")).select(
         "doc_id", "original", F.explode(X.term_variants("original")).alias("termo"))
 
 
@@ -233,7 +233,7 @@ def strip_nul(t):
 
     broken = F.replace("text", F.lit(" "), F.lit("\x00"))
     packed = J.metadata_json(v=broken)
-    return t.documents.select("doc_id", X.strip_nul(broken).alias("texto"),
+    return t.texts().select("doc_id", X.strip_nul(broken).alias("texto"),
                               F.from_json(packed, "v string")["v"].alias("json"))
 
 
@@ -241,7 +241,7 @@ def strip_nul(t):
     SELECT doc_id, upper(substr(lang || source, 1, 1)) || lower(substr(lang || source, 2)) AS nome,
         'Form_' || lpad(CAST(n_chars % 1000 AS VARCHAR), 4, '0') AS item FROM documents""")
 def capitalize(t):
-    return t.documents.select(
+    return t.texts().select(
         "doc_id", X.capitalize(F.concat("lang", "source")).alias("nome"),
         X.numbered(F.lit("Form"), F.col("n_chars") % 1000, 4).alias("item"))
 
@@ -259,7 +259,7 @@ def urls(t):
     SELECT doc_id, array_to_string([lang, source], ',') AS tags,
         CASE WHEN lang = 'en' THEN 'SIM' ELSE 'NÃO' END AS ingles FROM documents""")
 def join_tags(t):
-    return t.documents.select("doc_id", X.join_tags(F.array("lang", "source")).alias("tags"),
+    return t.texts().select("doc_id", X.join_tags(F.array("lang", "source")).alias("tags"),
                               X.yes_no(F.col("lang") == "en").alias("ingles"))
 
 
@@ -279,7 +279,7 @@ def network_of(t):
         '[a-zA-ZÀ-ÿ]{{2,}}'), x)), ' ') AS texto FROM documents""")
 def strip_name_tokens(t):
     own = F.concat_ws(" ", "lang", term_of("lang"), F.lit("the un"))
-    return t.documents.select("doc_id", X.strip_name_tokens(F.lower("text"), own).alias("texto"))
+    return t.texts().select("doc_id", X.strip_name_tokens(F.lower("text"), own).alias("texto"))
 
 
 @query("text.first_filled", """
