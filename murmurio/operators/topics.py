@@ -99,6 +99,23 @@ def assign(df: DataFrame, vector: str, centers: DataFrame, topic: str = "numero"
     return found.select(*kept, F.col(f"_n.{topic}").alias(topic), "_n.distancia")
 
 
+def assign_by(df: DataFrame, vector: str, centers: DataFrame, by: Sequence[str],
+              topic: str = "numero") -> DataFrame:
+    """Nearest topic among the centroids of each row's own model, named by the columns ``by``.
+
+    A model's centroids (a handful) are gathered into one array, so a document meets its model in
+    one join and no row is multiplied. Documents without a model drop out.
+    """
+    entry = F.struct(F.col(topic).alias("n"), F.col("centroide").alias("c"))
+    packed = centers.groupBy(*by).agg(F.collect_list(entry).alias("_centros"))
+    joined = df.where(F.col(vector).isNotNull()).join(sized(packed), list(by))
+    measured = F.transform("_centros", lambda e: F.struct(
+        F.round(V.l2_distance(vector, e["c"]), 9).alias("d"), e["n"].alias("n")))
+    kept = [c for c in df.columns if c != topic]
+    return joined.withColumn("_m", F.array_min(measured)).select(
+        *kept, F.col("_m.n").alias(topic), F.col("_m.d").alias("distancia"))
+
+
 def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int = SEED,
                cosine: bool = True) -> tuple[KMeansModel, DataFrame]:
     """K-means over the vectors (unit length for cosine); returns the model and ``numero``."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..schemas import TABLES
+from ..session import materialize
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -44,6 +45,25 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: Sequence[str]
     return read_table(spark, root, name)
 
 
+def read_partitioned(spark: SparkSession, root: str, name: str, extra: str = "mes STRING") -> DataFrame:
+    """A large table kept in partition folders; empty when it was never written."""
+    schema = f"{TABLES[name]}, {extra}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/_SUCCESS")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+
+def replace_partitions(df: DataFrame, root: str, name: str, by: str = "mes") -> None:
+    """Replace exactly the partitions the frame has rows of.
+
+    The rows are written to the shared folder first: the plan may read the partitions it replaces.
+    A run that dies while they are moved is repaired by running the job again.
+    """
+    (materialize(df, name).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(by).parquet(f"{root}/{name}"))
+
+
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """CSV with a header, a fixed column order and doubled quotes."""
     (df.select(*columns).write.mode("overwrite").option("header", True)

@@ -631,6 +631,22 @@ def assign_cosine(t):
     return topics.assign(docs, "embedding", centers, metric="cosine").select("vec_id", "numero")
 
 
+@query("topics.assign_by", """
+    WITH c3 AS (SELECT grupo, numero, list(media ORDER BY pos) AS c FROM (
+        SELECT vec_id % 3 AS grupo, numero, pos, avg(CAST(embedding[pos] AS DOUBLE)) AS media
+        FROM topic_docs, generate_series(1, 64) AS g(pos) WHERE numero <> -1
+        GROUP BY ALL) GROUP BY grupo, numero)
+    SELECT vec_id, arg_min(c3.numero, struct_pack(d := round(list_distance(
+        CAST(e.embedding AS DOUBLE[]), c3.c), 9), n := c3.numero)) AS numero
+    FROM topic_docs e JOIN c3 ON c3.grupo = e.vec_id % 3 GROUP BY vec_id""")
+def assign_by(t):
+    """Three models side by side."""
+    docs = t.topic_docs().withColumn("grupo", F.col("vec_id") % 3)
+    means = F.array(*[F.avg(F.col("embedding")[i]) for i in range(64)])
+    centers = docs.where("numero <> -1").groupBy("grupo", "numero").agg(means.alias("centroide"))
+    return topics.assign_by(docs, "embedding", centers, ["grupo"]).select("vec_id", "numero")
+
+
 @query("topics.infer", """
     SELECT d.id AS documento_id, CAST(100 + c.numero AS BIGINT) AS topico_id FROM (
         SELECT vec_id, arg_min(c.numero, struct_pack(d := round(list_distance(
