@@ -48,8 +48,8 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: Sequence[str]
 def read_partitioned(spark: SparkSession, root: str, name: str, extra: str = "mes STRING") -> DataFrame:
     """A large table kept in partition folders; empty when it was never written."""
     schema = f"{TABLES[name]}, {extra}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/_SUCCESS")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{extra.split()[0]}=*")
+    if not folders.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folders):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 

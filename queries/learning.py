@@ -38,9 +38,15 @@ def reduce_dimensions(t):
                                       for i in range(5)])
 
 
-def embed(texts):
-    """Stand-in encoder: counts of three letters."""
-    return [[s.count("a"), s.count("e"), s.count("n")] for s in texts]
+def letter_counts(letters):
+    """Stand-in encoder and scorer: how often each letter occurs in a text.
+
+    The function is made here, so it travels to the tasks by value and needs no module there.
+    """
+    def count(texts):
+        return [[text.count(letter) for letter in letters] for text in texts]
+
+    return count
 
 
 @query("topics.embeddings_cache", """
@@ -55,7 +61,7 @@ def embeddings_cache(t):
     text = F.when(F.col("toxic") == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     cache = known.select("doc_id", F.sha2(text, 256).alias("resumo"), F.array(
         F.lit(-1.0), F.lit(-1.0), F.lit(-1.0)).cast("array<float>").alias("embedding"))
-    out = topics.embeddings_cache(t.documents, "doc_id", "text", cache, embed)
+    out = topics.embeddings_cache(t.documents, "doc_id", "text", cache, letter_counts("aen"))
     return out.select("doc_id", F.col("embedding")[0].cast("bigint").alias("a"),
                       F.col("embedding")[1].cast("bigint").alias("e"))
 
@@ -91,11 +97,6 @@ def cross_validate(t):
         "fold", F.round("f1_macro", 6).alias("f1_macro"), F.round("acuracia", 6).alias("acuracia"))
 
 
-def letter_logits(texts):
-    """Stand-in scorer: shares of three letters."""
-    return [[s.count("a"), s.count("e"), s.count("o")] for s in texts]
-
-
 CTE["pending_doc"] = """
     SELECT id, texto, len(texto) - len(replace(texto, 'a', '')) AS a,
         len(texto) - len(replace(texto, 'e', '')) AS e, len(texto) - len(replace(texto, 'o', ''))
@@ -109,4 +110,4 @@ CTE["pending_doc"] = """
         AS polaridade FROM pending_doc""")
 def score_with(t):
     pending = incremental.pending_sentiment(t.documento(), t.sentimento())
-    return sentiment.score_with(pending, letter_logits, 130)
+    return sentiment.score_with(pending, letter_counts("aeo"), 130)

@@ -11,7 +11,7 @@ from murmurio.streaming import incremental as ST
 
 from .base import CTE, EPOCH, T0, query
 from .files import EXTRA
-from .learning import letter_logits
+from .learning import letter_counts
 from .loading import _start_sql, model_rows
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -170,7 +170,7 @@ def chained_scoring(t):
     finish(ST.append_files(first, loaded, scratch_path(t.spark, "marcas")))
     second = ST.read_new(t.spark, loaded, COMMENTS, "parquet")
     numbered = second.select(F.xxhash64("commentId").alias("id"), F.col("text").alias("texto"))
-    scored = appended(t, sentiment.score_with(numbered, letter_logits, 130),
+    scored = appended(t, sentiment.score_with(numbered, letter_counts("aeo"), 130),
                       "documento_id bigint, modelo_id bigint, polaridade string")
     names = t.comments().select("commentId", F.xxhash64("commentId").alias("documento_id"))
     return scored.join(names, "documento_id").select(F.col("commentId").alias("id"), "polaridade")
