@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from ..session import materialize
 from . import vocab
-from .skew import sized, draw_key, top_per_key
+from .skew import draw_key, sized, top_per_key
 
-# Numbers of topics that are tried, seed, words and examples per topic.
+# Numbers of topics that are tried, seed, words a topic model keeps per topic.
 K_VALUES = [5, 10, 15, 20]
 SEED = 42
+MODEL_WORDS = 10
 MAX_TOPICS = 10_000
 
 
@@ -58,8 +59,9 @@ def representatives(df: DataFrame, doc_id: str, vector: str, n: int = 10,
 def examples(df: DataFrame, doc_id: str, vector: str, n_total: int = 20, n_central: int = 10,
              seed: int = SEED, topic: str = "numero") -> DataFrame:
     """Central documents per topic and, up to ``n_total``, a random draw from the others."""
-    central = representatives(df, doc_id, vector, n_central, topic).select(
-        topic, doc_id, F.lit("representativo").alias("tipo"))
+    # topics x n_central rows, used twice
+    central = materialize(representatives(df, doc_id, vector, n_central, topic).select(
+        topic, doc_id, F.lit("representativo").alias("tipo")), "centrais")
     others = df.where(F.col(topic) != -1).select(topic, doc_id).join(
         central.select(doc_id), doc_id, "left_anti")
     # a topic with fewer central documents has no others left, so n_total - n_central is exact
@@ -168,21 +170,16 @@ def ctfidf(counts: DataFrame, topic: str = "numero") -> DataFrame:
 
 def keywords(weights: DataFrame, n: int = 10, topic: str = "numero",
              stopwords: DataFrame | None = None, mapping: DataFrame | None = None,
-             candidates: int | None = None) -> DataFrame:
-    """The ``n`` strongest words per topic in readable form, unique ignoring case.
+             candidates: int = MODEL_WORDS) -> DataFrame:
+    """The strongest words per topic in readable form, unique ignoring case, ``n`` at most.
 
-    ``mapping`` (raiz, palavra) turns stems into words; ``candidates`` limits how many of the
-    strongest stems are looked at, as a topic model keeps only so many.
+    A topic model keeps its ``candidates`` strongest stems; ``mapping`` (raiz, palavra) turns them
+    into words.
     """
     if stopwords is not None:
-        weights = weights.join(sized(stopwords.select("palavra")), "palavra",
-                               "left_anti")
-    order = [F.desc(F.round("peso", 9)), "palavra"]
-    if candidates is None:
-        w = Window.partitionBy(topic).orderBy(*order)
-        ranked = weights.withColumn("_ordem", F.row_number().over(w))
-    else:
-        ranked = top_per_key(weights, [topic], order, candidates, rank="_ordem")
+        weights = weights.join(sized(stopwords.select("palavra")), "palavra", "left_anti")
+    ranked = top_per_key(weights, [topic], [F.desc(F.round("peso", 9)), "palavra"], candidates,
+                         rank="_ordem")
     if mapping is not None:
         ranked = vocab.readable(ranked, mapping)
     return vocab.first_readable(ranked, [topic], "_ordem", n).drop("_ordem")

@@ -59,7 +59,7 @@ def fit(corpus: DataFrame, vectors: DataFrame, out: str, entity: str, encoder_sl
         assigned = materialize(assigned, "atribuicoes")
         weights = topics.ctfidf(topics.term_counts(assigned, words))
         keywords = topics.keyword_lists(topics.keywords(
-            weights, p["palavras"], stopwords=plain_stop, mapping=mapping, candidates=100))
+            weights, p["palavras"], stopwords=plain_stop, mapping=mapping))
         keywords = materialize(keywords, "palavras")
         line = F.concat(F.col("numero").cast("string"), F.lit(" - "),
                         F.array_join("palavras_chave", " "))

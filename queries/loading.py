@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from murmurio.functions import text as X
-from murmurio.functions import wordlists as WL
 from murmurio.operators import dims, incremental, models, normalize, resolve, upsert
 from murmurio.operators.skew import first_per_key
 
 from .base import (ALVO_ID_SQL, CTE, EPOCH, T0, TERM_SLUG_SQL, TERM_SQL, TERMS, query, slugify_sql,
                    strip_sql, term_of)
+from .text_functions import STEPS, STOPWORDS
 
 
 def seconds(name):
@@ -719,15 +719,56 @@ def pending_topics_of_model(t):
         "id", "modelo_id")
 
 
-@query("incremental.unprocessed", f"""
-    SELECT doc_id, {strip_sql("text")} <> '' AS tem_texto FROM raw_reddit JOIN documents
-    USING (doc_id) WHERE processed_text IS NULL""")
-def unprocessed(t):
-    """Rows whose processed text is still to be written."""
+_chain, _source = [], "merged"
+for _step, _expr in STEPS:
+    _chain.append(f"{_step} AS (SELECT doc_id, {_expr} AS x FROM {_source})")
+    _source = _step
+
+
+@query("incremental.preprocess", f"""
+    WITH merged AS (SELECT doc_id, coalesce(title, '') || ' ' || coalesce(selftext, '') || ' '
+        || coalesce(body, '') || ' ' AS t FROM raw_reddit WHERE processed_text IS NULL),
+    {", ".join(_chain)} SELECT doc_id, x AS processed_text, 1706745600 AS em FROM shortened""")
+def preprocess_pending(t):
+    """Processed text of the records that lack it; one of the columns does not exist."""
     out = incremental.preprocess_incremental(
-        t.raw_reddit(), "doc_id", ["title", "selftext", "body", "inexistente"], WL.GENERIC_NOISE,
+        t.raw_reddit(), "doc_id", ["title", "selftext", "body", "inexistente"], STOPWORDS,
         "2024-02-01 00:00:00")
-    filled_in = incremental.unprocessed(t.raw_reddit()).join(out, "doc_id").drop("processed_text")
-    texts = t.documents.select("doc_id", "text")
-    return filled_in.join(texts, "doc_id").select(
-        "doc_id", (X.strip("text") != "").alias("tem_texto"))
+    return out.select("doc_id", "processed_text", F.unix_timestamp("preprocessed_at").alias("em"))
+
+
+@query("incremental.after_clean", f"""
+    SELECT doc_id, body FROM raw_reddit WHERE {strip_sql("regexp_replace(body, '[a-z]', '', 'g')")}
+    <> ''""")
+def after_clean(t):
+    emptied = t.raw_reddit().withColumn("_limpo", F.regexp_replace("body", "[a-z]", ""))
+    return incremental.after_clean(emptied, "_limpo").select("doc_id", "body")
+
+
+@query("dedup.first_per_key", f"""
+    SELECT canal, termo_busca, tipo, arg_min(id_nativo, id_mongo || id_nativo) AS id_nativo
+    FROM norm_reddit GROUP BY canal, termo_busca, tipo""")
+def first_of_key(t):
+    docs = normalize.reddit(t.raw_reddit())
+    return first_per_key(docs, ["canal", "termo_busca", "tipo"], [
+        F.concat("id_mongo", "id_nativo")]).select("canal", "termo_busca", "tipo", "id_nativo")
+
+
+@query("raw.union_variants", """
+    SELECT _termo_busca, _tipo_documento, count(*) AS linhas FROM (
+        SELECT _termo_busca, _tipo_documento FROM raw_reddit UNION ALL
+        SELECT _termo_busca, 'post' FROM raw_reddit) GROUP BY 1, 2""")
+def union_variants(t):
+    """Posts and comments found under each spelling of a term, stored under the original term."""
+    raw = t.raw_reddit()
+    found = raw.withColumn("_variante", F.explode(F.slice(X.term_variants("_termo_busca"), 1, 1)))
+    again = raw.withColumns({"_tipo_documento": F.lit("post"), "_variante": F.element_at(
+        X.term_variants("_termo_busca"), -1)})
+    return found.unionByName(again).groupBy("_termo_busca", "_tipo_documento").agg(
+        F.count("*").alias("linhas"))
+
+
+@query("incremental.unprocessed", """
+    SELECT doc_id, _tipo_documento FROM raw_reddit WHERE processed_text IS NULL""")
+def unprocessed(t):
+    return incremental.unprocessed(t.raw_reddit()).select("doc_id", "_tipo_documento")

@@ -290,7 +290,7 @@ def first_filled(t):
         "nome"), F.coalesce(X.blank_to_null("page_id"), "_entidade_busca").alias("pagina"))
 
 
-_steps = [
+STEPS = [
     ("lowered", strip_sql(f"regexp_replace(lower(t), '{S}+', ' ', 'g')")),
     ("stopped", stopwords_sql("x")),
     ("folded", unidecode_sql("x")),
@@ -303,7 +303,7 @@ _steps = [
     ("shortened", short_sql("x")),
 ]
 _chain, _source = [], "decorated"
-for _step, _expr in _steps:
+for _step, _expr in STEPS:
     _chain.append(f"{_step} AS (SELECT doc_id, {_expr} AS x FROM {_source})")
     _source = _step
 
