@@ -22,19 +22,18 @@ def exact(docs: DataFrame, text: str, order: str) -> DataFrame:
     return docs.join(winners.select(order), order, "left_semi")
 
 
-def _signed(docs: DataFrame, text: str, size: int) -> DataFrame:
-    return docs.withColumn("assinatura", X.signature_text(text, size)).where(
-        F.col("assinatura") != "")
-
-
 def prefix_groups(docs: DataFrame, doc_id: str, text: str, size: int = 60) -> DataFrame:
     """Groups of documents that start alike: signature, size and first document.
 
-    Only counts and the smallest id travel, so a group may hold any share of the rows.
+    Only counts and the smallest id travel, so a group may hold any share of the rows. Blank
+    signatures are left out afterwards, by their length: a filter on the signature itself would be
+    pushed below the grouping and compute it twice.
     """
-    return _signed(docs, text, size).groupBy("assinatura").agg(
-        F.count("*").alias("documentos"), F.min(doc_id).alias("primeiro")
-    ).where("documentos > 1")
+    signed = docs.select(doc_id, X.signature_text(text, size).alias("assinatura"))
+    return signed.groupBy("assinatura").agg(
+        F.count("*").alias("documentos"), F.min(doc_id).alias("primeiro"),
+        F.max(F.length("assinatura")).alias("_tamanho"),
+    ).where("documentos > 1 AND _tamanho > 0").drop("_tamanho")
 
 
 def prefix_summary(groups: DataFrame, total: int) -> DataFrame:
@@ -49,7 +48,8 @@ def largest_groups(docs: DataFrame, doc_id: str, text: str, size: int = 60, grou
                    ids: int = 10, sample: int = 120) -> DataFrame:
     """The largest groups with their first ids and the start of the first text."""
     # the signatures feed the counts and the members; the texts of a few members are fetched last
-    signed = materialize(_signed(docs, text, size).select(doc_id, "assinatura"), "assinaturas")
+    signed = materialize(docs.select(doc_id, X.signature_text(text, size).alias("assinatura")),
+                         "assinaturas").where("assinatura <> ''")
     counts = signed.groupBy("assinatura").agg(F.count("*").alias("documentos")).where(
         "documentos > 1")
     # `groups` rows by construction

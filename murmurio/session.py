@@ -40,8 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/murmurio/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in the application's own part of it."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/murmurio/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

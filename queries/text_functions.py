@@ -76,7 +76,6 @@ FUNCTIONS = {
     "strip_links": (X.strip_links, f"regexp_replace(t, 'http{NS}+|www{NS}+', ' ', 'g')"),
     "remove_tweet_marking": (X.remove_tweet_marking, tweet_sql("t")),
     "remove_punctuation": (X.remove_punctuation, punctuation_sql("t")),
-    "remove_repeated_words": (X.remove_repeated_words, None),
     "collapse_vowels": (X.collapse_vowels, vowels_sql("t")),
     "remove_stopwords": (lambda c: X.remove_stopwords(c, STOPWORDS), stopwords_sql("t")),
     "remove_short_words": (lambda c: X.remove_short_words(c, 3), short_sql("t")),
@@ -103,9 +102,7 @@ FUNCTIONS = {
 
 
 def _register(name, fn, expr):
-    sql = None if expr is None else f"SELECT doc_id, {expr} AS texto FROM decorated"
-
-    @query(f"text.{name}", sql)
+    @query(f"text.{name}", f"SELECT doc_id, {expr} AS texto FROM decorated")
     def run(t):
         return t.decorated().select("doc_id", fn(F.col("t")).alias("texto"))
 
@@ -114,6 +111,26 @@ for _name, (_fn, _expr) in FUNCTIONS.items():
     _register(_name, _fn, _expr)
 
 
+@query("text.remove_repeated_words", f"""
+    WITH lists AS (SELECT doc_id, regexp_extract_all(t, '{W}+|{NW}+') AS l FROM decorated),
+    p AS (SELECT doc_id, unnest(l) AS piece, unnest(range(1, len(l) + 1)) AS i FROM lists),
+    n AS (SELECT *, regexp_matches(piece, '^{W}') AS is_word, coalesce(lead(piece, 2) OVER w = piece
+              AND regexp_full_match(lead(piece, 1) OVER w, '{S}+'), FALSE) AS same_next
+          FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM n WHERE is_word),
+    g AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, same_next ORDER BY k) AS run FROM k),
+    s AS (SELECT doc_id, i, same_next AND row_number() OVER (PARTITION BY doc_id, same_next, run
+              ORDER BY k) % 2 = 1 AS pair_start FROM g)
+    SELECT p.doc_id, string_agg(piece, '' ORDER BY p.i) AS texto FROM p
+    LEFT JOIN s a ON a.doc_id = p.doc_id AND a.i = p.i - 1
+    LEFT JOIN s b ON b.doc_id = p.doc_id AND b.i = p.i - 2
+    WHERE NOT coalesce(a.pair_start, FALSE) AND NOT coalesce(b.pair_start, FALSE)
+    GROUP BY p.doc_id""")
+def remove_repeated_words(t):
+    """Runs of equal words are taken in pairs, from the left."""
+    return t.decorated().select("doc_id", X.remove_repeated_words("t").alias("texto"))
+
+
 @query("text.collapse_chars", f"""
     SELECT doc_id, {collapse_sql("t")} AS texto
     FROM (SELECT doc_id, regexp_replace(text, '([aeo])', '\\1\\1\\1', 'g') AS t FROM documents)""")
