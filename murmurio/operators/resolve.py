@@ -97,8 +97,10 @@ def with_fallback(docs: DataFrame, alvo: DataFrame, channel: Column | str = "can
 def channel(requests: DataFrame, channels: DataFrame, wanted: str = "pedido") -> DataFrame:
     """Name and id of a channel given by either, ignoring case; no hit -> the input for both.
 
-    ``channels`` has ``posicao, nome, channel_id``; the first listed hit wins.
+    ``channels`` has ``posicao, nome, channel_id``; the first listed hit wins, a channel without a
+    name gives ''.
     """
+    channels = channels.withColumn("nome", F.coalesce("nome", F.lit("")))
     by_name = channels.select(F.lower("nome").alias("_chave"), "posicao", "nome", "channel_id")
     by_id = channels.select(F.lower("channel_id").alias("_chave"), "posicao", "nome", "channel_id")
     lookup = first_per_key(by_name.unionByName(by_id), ["_chave"], ["posicao"]).drop("posicao")

@@ -237,10 +237,10 @@ def with_fallback(t):
 
 @query("resolve.channel", """
     WITH canais AS (SELECT channelId, max(channelTitle) AS nome FROM videos GROUP BY channelId)
-    SELECT v.videoId, coalesce(c.nome, v.pedido) AS nome, coalesce(c.channelId, v.pedido) AS
-        channel_id
-    FROM (SELECT *, CASE conv_id % 3 WHEN 0 THEN channelId WHEN 1 THEN coalesce(channelTitle, '?')
-                 ELSE 'outro' END AS pedido FROM videos) v
+    SELECT v.videoId, CASE WHEN c.channelId IS NULL THEN v.pedido ELSE coalesce(c.nome, '') END AS
+        nome, coalesce(c.channelId, v.pedido) AS channel_id
+    FROM (SELECT *, CASE conv_id % 3 WHEN 0 THEN lower(channelId) WHEN 1 THEN
+              coalesce(upper(channelTitle), '?') ELSE 'outro' END AS pedido FROM videos) v
     LEFT JOIN canais c ON lower(c.channelId) = lower(v.pedido) OR lower(c.nome) = lower(v.pedido)
     """)
 def channel(t):

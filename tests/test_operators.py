@@ -95,11 +95,12 @@ def test_merge_targets_keeps_canonical_documents(spark, rows):
 
 
 def test_channel_lookup(spark, rows):
-    channels = table(spark, [(0, "Canal A", "UC1"), (1, "UC1", "UC2")],
+    channels = table(spark, [(0, "Canal A", "UC1"), (1, "UC1", "UC2"), (2, None, "UC3")],
                      "posicao int, nome string, channel_id string")
-    asked = table(spark, [("canal a",), ("uc1",), ("UC9",)], "pedido string")
+    asked = table(spark, [("canal a",), ("uc1",), ("UC9",), ("uc3",)], "pedido string")
     assert rows(resolve.channel(asked, channels), "pedido", "nome", "channel_id") == [
-        ("UC9", "UC9", "UC9"), ("canal a", "Canal A", "UC1"), ("uc1", "Canal A", "UC1")]
+        ("UC9", "UC9", "UC9"), ("canal a", "Canal A", "UC1"), ("uc1", "Canal A", "UC1"),
+        ("uc3", "", "UC3")]
 
 
 # --- skew
