@@ -31,18 +31,35 @@ def read_new(spark: SparkSession, path: str, schema: str, fmt: str = "json",
     return reader.load(path)
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a query. A stateful query keeps the number of state partitions it was first started
+    with for the life of its checkpoint, so it is given on its own, sized to the state."""
+    if state_partitions is None:
+        return writer.start()
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(name, usual)
+
+
 def run_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
-                mode: str = "append") -> StreamingQuery:
+                mode: str = "append", state_partitions: int | None = None) -> StreamingQuery:
     """Hand what has arrived to ``handle(batch, batch_id)``. A batch may come again after a
     failure, with the same id, and may be empty."""
-    return (stream.writeStream.outputMode(mode).foreachBatch(handle)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = (stream.writeStream.outputMode(mode).foreachBatch(handle)
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    return _start(writer, stream.sparkSession, state_partitions)
 
 
-def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def append_files(stream: DataFrame, path: str, checkpoint: str,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Append the stream to Parquet files, each row exactly once."""
-    return (stream.writeStream.format("parquet").option("path", path).outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = (stream.writeStream.format("parquet").option("path", path).outputMode("append")
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    return _start(writer, stream.sparkSession, state_partitions)
 
 
 def version_path(root: str, name: str, batch_id: int) -> str:

@@ -35,7 +35,8 @@ def finish(query_):
 
 def appended(t, stream, schema):
     out = scratch_path(t.spark, "saida")
-    finish(ST.append_files(stream, out, scratch_path(t.spark, "marcas")))
+    cores = t.spark.sparkContext.defaultParallelism
+    finish(ST.append_files(stream, out, scratch_path(t.spark, "marcas"), cores))
     return t.spark.read.schema(schema).parquet(out)
 
 
@@ -148,7 +149,8 @@ def target_state(t):
     stream = event_stream(t).select(F.col("user_id").alias("alvo_coleta_id"),
                                     F.col("event_type").alias("tipo"), "ts")
     finish(ST.run_batches(ST.target_state(stream, "ts"), scratch_path(t.spark, "marcas"),
-                          ST.write_whole(root, "alvo_coleta_estado"), "complete"))
+                          ST.write_whole(root, "alvo_coleta_estado"), "complete",
+                          t.spark.sparkContext.defaultParallelism))
     state = ST.read_state(t.spark, root, "alvo_coleta_estado",
                           "alvo_coleta_id bigint, tipo_documento string, total_documentos bigint,"
                           " primeiro_publicado_em timestamp, ultimo_publicado_em timestamp")
