@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _col
+from .text import _bound, _col
 
 
 def _sum(c: Column) -> Column:
@@ -33,16 +33,17 @@ def cosine_similarity(a: Column | str, b: Column | str) -> Column:
 
 
 def normalized(a: Column | str) -> Column:
-    """Unit vector; a null vector stays as it is."""
-    norm = l2_norm(a)
-    return F.transform(_col(a), lambda x: F.when(norm > 0, x / norm).otherwise(x.cast("double")))
+    """Unit vector; a null vector stays as it is. The norm is computed once per row."""
+    return _bound(l2_norm(a), lambda norm: F.transform(
+        _col(a), lambda x: F.when(norm > 0, x / norm).otherwise(x.cast("double"))))
 
 
 def softmax(logits: Column | str) -> Column:
     logits = _col(logits)
-    top = F.array_max(logits)
-    powers = F.transform(logits, lambda x: F.exp(x - top))
-    return F.transform(powers, lambda x: x / _sum(powers))
+    powers = _bound(F.array_max(logits), lambda top: F.transform(
+        logits, lambda x: F.exp(x - top)))
+    return _bound(powers, lambda p: _bound(_sum(p), lambda total: F.transform(
+        p, lambda x: x / total)))
 
 
 def argmax(values: Column | str) -> Column:
