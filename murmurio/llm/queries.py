@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from murmurio.session import configure
 
-from . import decontamination, neardup, quality, toxicity, wordbpe
+from . import decontamination, neardup, quality, resharding, tokenfiles, toxicity, warc, wordbpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,3 +60,31 @@ def toxicity_scores(table):
 def quality_rules(table):
     found = quality.line_quality(table("documents"))
     return found.select("doc_id", *quality.STATS, "kept", "words_left")
+
+
+@query("op5_token_id_orc")
+def token_id_orc(table):
+    rows = tokenfiles.round_trip(table("documents"))
+    return tokenfiles.checksums(rows.select("doc_id", "start", "n_tokens", "ids"))
+
+
+@query("op6_warc_normaliser", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+    f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+                    ELSE page_id END AS first FROM d)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first <> page_id THEN first END AS refers_to FROM f""")
+def warc_normaliser(table):
+    return warc.round_trip(table("pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_flow_resharding")
+def flow_resharding(table):
+    # the old layout: twelve shards by source, as a crawl leaves them, so their sizes differ widely
+    old = F.pmod(F.xxhash64("source"), F.lit(12))
+    placed = resharding.reshard(table("documents"), old, 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "old_shard")

@@ -8,9 +8,9 @@ insults are short, few and inflected. Short windows compress to little but frame
 window is written as a 16-byte code: known to a dictionary it becomes a match of a few bytes,
 unknown it stays 16 literals. What is compared are the lengths of the compressed codes.
 
-Thresholds are calibrated on the labelled sample. First, windows that ordinary documents hold too
-often for what the toxic dictionary claims are added to the ordinary dictionary (false alarms),
-until none is left. Then a logistic curve over the number of toxic windows of a document gives the
+Toxic texts consist mostly of ordinary words. So the toxic dictionary is trained on those of their
+windows that recur among toxic texts and are rare in ordinary ones, and what it knows beyond them
+is added to the ordinary dictionary. Then a logistic curve over the number of toxic windows of a document gives the
 score; 0.5 is the threshold.
 
 The sample is bounded: about ``SAMPLE`` labelled documents of each class, drawn by a hash of their
@@ -40,7 +40,8 @@ from .batches import extend, schema_with, small_batches
 SAMPLE = 4000               # labelled documents of each class, about
 WINDOW = 5                  # characters
 TOXIC_BYTES, ORDINARY_BYTES = 112 << 10, 512 << 10
-FALSE_ALARM = 0.1           # rate in ordinary documents, as a share of that in toxic ones
+FALSE_ALARM = 0.02          # most that a window's rate in ordinary texts may be of that in toxic ones
+SUPPORT = 0.005             # share of the toxic texts that hold a window of their dictionary
 GAIN = 4                    # bytes by which the toxic dictionary must be better
 CACHE = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -64,18 +65,21 @@ def text_windows(text: str | None) -> set[str]:
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     kept = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    # tables wide enough for every window of a dictionary
     form = zstandard.ZstdCompressionParameters.from_level(
-        3, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False,
-        write_dict_id=False)
+        3, window_log=21, hash_log=20, chain_log=20, min_match=5,
+        strategy=zstandard.STRATEGY_DFAST, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+        write_content_size=False, write_checksum=False, write_dict_id=False)
     kept.precompute_compress(compression_params=form)
     return zstandard.ZstdCompressor(dict_data=kept, compression_params=form)
 
 
 def _train(samples: list[bytes], size: int) -> bytes:
     """Dictionary content; of samples too few for the trainer it is the samples themselves."""
+    samples = [s for s in samples if s]
     total = sum(map(len, samples))
     try:
-        return zstandard.train_dictionary(min(size, max(1024, total // 2)), samples, k=16, d=8).as_bytes()
+        return zstandard.train_dictionary(min(size, max(1024, total // 4)), samples, k=16, d=8).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:]
 
@@ -91,49 +95,59 @@ class Classifier:
         return self.__dict__ | {"_ready": None}
 
     def gain(self, window: str) -> int:
-        """Bytes that the toxic dictionary saves more than the ordinary one."""
+        """Bytes that the toxic dictionary saves more than the ordinary one, 0 if it knows nothing."""
         if self._ready is None:
             self._ready = _compressor(self.toxic), _compressor(self.ordinary)
         data = code(window)
-        return len(self._ready[1].compress(data)) - len(self._ready[0].compress(data))
+        known = len(self._ready[0].compress(data))
+        return len(self._ready[1].compress(data)) - known if known < len(data) else 0
 
     def score(self, toxic_windows: np.ndarray) -> np.ndarray:
         a, b = self.curve
         return 1 / (1 + np.exp(-(a + b * np.log1p(toxic_windows))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope by Newton steps with a small penalty on the slope."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Intercept and slope by Newton steps with a small penalty."""
     design, beta = np.stack([np.ones_like(x), x], axis=1), np.zeros(2)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (p - y) + np.array([0.01, 0.1]) * beta
-        hess = (design * (p * (1 - p))[:, None]).T @ design + np.diag([0.01, 0.1])
+        grad = design.T @ (weight * (p - y)) + np.array([0.01, 0.1]) * beta
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag([0.01, 0.1])
         beta -= np.clip(np.linalg.solve(hess, grad), -5, 5)
     return float(beta[0]), float(beta[1])
 
 
-def train(toxic: list[str], ordinary: list[str]) -> Classifier:
-    """Fit on the texts of the two classes."""
+def train(toxic: list[str], ordinary: list[str], weight: float = 1.0) -> Classifier:
+    """Fit on the texts of the two classes; an ordinary text stands for ``weight`` of them."""
     if not toxic or not ordinary:
         return Classifier(b"\0" * 16, b"\0" * 16, (30.0 if toxic else -30.0, 0.0))
     bad, good = [text_windows(t) for t in toxic], [text_windows(t) for t in ordinary]
     n_bad, n_good = Counter(w for s in bad for w in s), Counter(w for s in good for w in s)
-    join = lambda sets: [b"".join(code(w) for w in sorted(s)) for s in sets if s]
-    toxic_dict, ordinary_dict = _train(join(bad), TOXIC_BYTES), _train(join(good), ORDINARY_BYTES)
+    support = max(3, len(bad) * SUPPORT)  # what recurs among toxic texts, not one text's rare words
+    coded = {w: code(w) for w in n_bad.keys() | n_good.keys()}
+    telling = {w for w, n in n_bad.items() if n >= support
+               and (n_good[w] + 0.5) / len(good) <= FALSE_ALARM * n / len(bad)}
+    toxic_dict = _train([b"".join(coded[w] for w in sorted(s & telling)) for s in bad], TOXIC_BYTES)
+    known = _compressor(toxic_dict)
+    missed = [w for w in telling if len(known.compress(coded[w])) >= len(coded[w])]
+    missed.sort(key=lambda w: (n_bad[w], w), reverse=True)  # what the trainer left out
+    toxic_dict += b"".join(coded[w] for w in missed)[:max(0, TOXIC_BYTES - len(toxic_dict))]
+    ordinary_dict = _train([b"".join(coded[w] for w in sorted(s)) for s in good], ORDINARY_BYTES)
+    known = _compressor(toxic_dict)
+    known = [w for w, c in coded.items() if len(known.compress(c)) < len(c)]
+    alarms = sorted(w for w in known if w not in telling)
     for _ in range(5):
+        ordinary_dict += b"".join(coded[w] for w in alarms)
         model = Classifier(toxic_dict, ordinary_dict, (0.0, 0.0))
-        alarms = [w for w, n in n_bad.items() if model.gain(w) > 0
-                  and (n_good[w] + 0.5) / len(good) > FALSE_ALARM * n / len(bad)]
-        alarms += [w for w, n in n_good.items() if n > 1 and w not in n_bad and model.gain(w) > 0]
+        alarms = [w for w in alarms if model.gain(w) >= GAIN]
         if not alarms:
             break
-        ordinary_dict = b"".join(code(w) for w in sorted(alarms)) + ordinary_dict
-    model = Classifier(toxic_dict, ordinary_dict, (0.0, 0.0))
-    hits = {w for w in n_bad.keys() | n_good.keys() if model.gain(w) >= GAIN}
+    hits = {w for w in known if model.gain(w) >= GAIN}
     counts = np.array([len(s & hits) for s in bad + good], float)
     labels = np.array([1.0] * len(bad) + [0.0] * len(good))
-    return Classifier(toxic_dict, ordinary_dict, _logistic(np.log1p(counts), labels))
+    return Classifier(toxic_dict, ordinary_dict, _logistic(
+        np.log1p(counts), labels, np.where(labels == 1, 1.0, weight)))
 
 
 def held_out(key: Column) -> Column:
@@ -156,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     texts = {1: [], 0: []}
     for body, toxic in sorted((r[0] or "", int(r[1] == 1)) for r in rows):
         texts[toxic].append(body)
-    return train(texts[1], texts[0])
+    shares = [counts.get(c, 0) / max(1, len(texts[c])) for c in (0, 1)]
+    return train(texts[1], texts[0], max(1.0, shares[0] / max(1.0, shares[1])))
 
 
 def score(df: DataFrame, model: Classifier, *, text: str = "text") -> DataFrame:
