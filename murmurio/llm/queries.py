@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from murmurio.session import configure
 
-from . import decontamination, neardup, quality, resharding, tokenfiles, toxicity, warc, wordbpe
+from . import classlm, decontamination, htmltext, neardup, quality, resharding, tokenfiles, toxicity, warc, wordbpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +30,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_tag_path_ratios")
+def tag_path_ratios(table):
+    return htmltext.extract_text(table("pages"))
+
+
+@query("op3_class_language_model")
+def class_language_model(table):
+    return classlm.score_texts(table("documents"))
+
+
 @query("op2_minhash_near_dedup")
 def near_dedup(table):
     docs = table("documents").select("doc_id", "text")
