@@ -19,14 +19,15 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def schema_with(df: DataFrame, columns: str, drop: tuple[str, ...] = ()) -> T.StructType:
-    """Schema of a frame without some columns and with more, given as DDL."""
-    kept = [f for f in df.schema.fields if f.name not in drop]
-    return T.StructType(kept + T._parse_datatype_string(columns).fields)
+    """Schema of a frame without some columns and with more, given as DDL; these replace their namesakes."""
+    new = T._parse_datatype_string(columns).fields
+    gone = {*drop, *(f.name for f in new)}
+    return T.StructType([f for f in df.schema.fields if f.name not in gone] + new)
 
 
 def extend(batch: pa.RecordBatch, columns: dict[str, pa.Array], drop: tuple[str, ...] = ()) -> pa.RecordBatch:
-    """A batch with more columns."""
-    names = [n for n in batch.schema.names if n not in drop]
+    """A batch with more columns, as ``schema_with`` says."""
+    names = [n for n in batch.schema.names if n not in drop and n not in columns]
     return pa.RecordBatch.from_arrays(
         [batch.column(n) for n in names] + list(columns.values()), names=names + list(columns))
 

@@ -45,7 +45,7 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 LISTS = {"ul", "ol", "menu", "dl", "table", "select"}
-CONTAINERS = {"article", "main", "body", "div", "section", "td", "html"}
+CONTAINERS = {"article", "main", "body", "div", "section", "td", "html", "#"}
 # words of tags, roles, classes and ids that mark what is no article
 AWAY_TAGS = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "svg", "math", "object", "audio",
              "video", "canvas", "head"}
@@ -96,7 +96,7 @@ class _Block:
 def blocks(html: str) -> list[_Block]:
     """Blocks of a page in order, without those in elements that are no article."""
     out: list[_Block] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, number of the element, no article
+    stack: list[tuple[str, int, bool]] = [("#", 0, False)]  # tag, number of the element, no article
     block = _Block()
     number = at = 0
 
@@ -118,7 +118,7 @@ def blocks(html: str) -> list[_Block]:
         closing, tag, attributes = match.group(1, 2, 3) if match.group(2) else match.group(4, 5, 6)
         if tag is None:
             text = match.group()
-            if text[0] == "<" and len(text) > 1 or (stack and stack[-1][2]):
+            if text[0] == "<" and len(text) > 1 or stack[-1][2]:
                 continue
             text = unescape(text)
             if not block.parts and not text.strip():
@@ -168,7 +168,7 @@ def blocks(html: str) -> list[_Block]:
         if attributes and attributes.endswith("/") and tag in ("path", "circle", "rect", "use"):
             continue
         inside = any(t in ("article", "main") for t, _, _ in stack)
-        stack.append((tag, number, bool(stack and stack[-1][2]) or _away(tag, attributes, inside)))
+        stack.append((tag, number, stack[-1][2] or _away(tag, attributes, inside)))
     flush()
     return [b for b in out if b.path]
 

@@ -144,14 +144,15 @@ def apply_quality(df: DataFrame, *, key: str = "doc_id", text: str = "text", hos
     verdict = (verdict.where("kept").select(F.col(key).alias("_k"), F.col("digest").alias("_d"),
                                             F.col(host).alias("_h"), F.col("removed").alias("_r"))
                .dropDuplicates(["_k", "_d", "_h"]))
-    mine = F.md5(F.coalesce(F.col(text), F.lit("")))
-    joined = df.withColumn("_digest", mine).join(
-        verdict, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_digest") == F.col("_d"))
-        & F.col(host).eqNullSafe(F.col("_h")))
+    at = {n: f"c{i}" for i, n in enumerate(df.columns)}
+    rows, t = df.toDF(*at.values()), at[text]
+    joined = rows.withColumn("_digest", F.md5(F.coalesce(F.col(t), F.lit("")))).join(
+        verdict, F.col(at[key]).eqNullSafe(F.col("_k")) & (F.col("_digest") == F.col("_d"))
+        & F.col(at[host]).eqNullSafe(F.col("_h")))
     clean = F.when(F.size("_r") > 0, F.array_join(F.filter(
-        F.split(F.col(text), "\n"), lambda x: ~F.coalesce(
-            F.array_contains(F.col("_r"), line_hash(x)), F.lit(False))), "\n")).otherwise(F.col(text))
-    out = joined.withColumn(text, clean)
-    if length and length in df.columns:
-        out = out.withColumn(length, F.length(text).cast(df.schema[length].dataType))
-    return out.select(*df.columns)
+        F.split(F.col(t), "\n"), lambda x: ~F.coalesce(
+            F.array_contains(F.col("_r"), line_hash(x)), F.lit(False))), "\n")).otherwise(F.col(t))
+    out = joined.withColumn(t, clean)
+    if length in at:
+        out = out.withColumn(at[length], F.length(t).cast(df.schema[length].dataType))
+    return out.select(*[F.col(c).alias(n) for n, c in at.items()])

@@ -174,39 +174,50 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     return train(texts[1], texts[0], max(1.0, shares[0] / max(1.0, shares[1])))
 
 
+def _counter(model: Classifier):
+    """Function of a list of texts: toxic windows of each. Words are looked at once per worker."""
+    by_word: dict[str, frozenset] = {}
+    gains: dict[str, bool] = {}
+
+    def toxic(chunk: str) -> frozenset:
+        found = set()
+        for word in _WORD.findall(chunk):
+            for w in windows(word):
+                if w not in gains:
+                    gains[w] = model.gain(w) >= GAIN
+                if gains[w]:
+                    found.add(w)
+        return frozenset(found)
+
+    def count(texts: list[str | None]) -> np.ndarray:
+        counts = []
+        for body in texts:
+            found: set[str] = set()
+            for chunk in set((body or "").lower().split()):
+                hits = by_word.get(chunk)
+                if hits is None:
+                    hits = by_word[chunk] = toxic(chunk)
+                if hits:
+                    found |= hits
+            counts.append(len(found))
+        for cache in (by_word, gains):
+            if len(cache) > CACHE:
+                cache.clear()
+        return np.array(counts, np.int64)
+
+    return count
+
+
 def score(df: DataFrame, model: Classifier, *, text: str = "text") -> DataFrame:
     """``df`` with toxic_windows, score and predicted."""
     small_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, by_word, gains = sent.value, {}, {}
-
-        def toxic(chunk: str) -> frozenset:
-            found = set()
-            for word in _WORD.findall(chunk):
-                for w in windows(word):
-                    if w not in gains:
-                        gains[w] = fitted.gain(w) >= GAIN
-                    if gains[w]:
-                        found.add(w)
-            return frozenset(found)
-
+        count = _counter(sent.value)
         for batch in batches:
-            counts = []
-            for body in batch.column(text).to_pylist():
-                found: set[str] = set()
-                for chunk in set((body or "").lower().split()):
-                    hits = by_word.get(chunk)
-                    if hits is None:
-                        hits = by_word[chunk] = toxic(chunk)
-                    if hits:
-                        found |= hits
-                counts.append(len(found))
-            for cache in (by_word, gains):
-                if len(cache) > CACHE:
-                    cache.clear()
-            p = fitted.score(np.array(counts, float))
+            counts = count(batch.column(text).to_pylist())
+            p = sent.value.score(counts)
             yield extend(batch, {"toxic_windows": pa.array(counts, pa.int64()),
                                  "score": pa.array(p, pa.float64()),
                                  "predicted": pa.array((p >= 0.5).astype(np.int32), pa.int32())})
@@ -216,4 +227,13 @@ def score(df: DataFrame, model: Classifier, *, text: str = "text") -> DataFrame:
 
 def drop_toxic(df: DataFrame, model: Classifier, *, text: str = "text") -> DataFrame:
     """The documents that are not predicted to be toxic."""
-    return score(df, model, text=text).where("predicted = 0").select(*df.columns)
+    small_batches(df.sparkSession)
+    sent = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter(sent.value)
+        for batch in batches:
+            keep = sent.value.score(count(batch.column(text).to_pylist())) < 0.5
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
