@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from .text import _col, strip_nul_json
 
 
+def nested(c: Column | str) -> Column:
+    """The object or list that a JSON text holds; any other text stays a text."""
+    c = _col(c)
+    return F.coalesce(F.when(c.rlike(r"^\s*[\[{]"), F.try_parse_json(c)), c.cast("variant"))
+
+
 def metadata_json(**fields: Column | str) -> Column:
     """JSON object that keeps explicit nulls and drops NUL characters."""
     packed = F.struct(*[_col(value).alias(name) for name, value in fields.items()])

@@ -36,7 +36,8 @@ def parse_iso(c: Column | str) -> Column:
 
 def parse_epoch(c: Column | str) -> Column:
     """Whole epoch seconds, fractions cut off; anything unreadable -> null."""
-    return F.timestamp_seconds(_col(c).try_cast("bigint"))
+    number = _col(c).cast("string").try_cast("decimal(38,9)")
+    return F.timestamp_seconds(F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).cast("bigint"))
 
 
 def utc_day(c: Column | str) -> Column:

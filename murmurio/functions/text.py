@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column
@@ -77,8 +77,10 @@ def _fold_tables(form: str, spelled: bool = False) -> tuple[str, str, tuple]:
     one = {c: t for c, t in spellings.items() if len(t) == 1}
     several = {c: t for c, t in spellings.items() if len(t) > 1}
     dropped = []
-    for code in [*range(0x80, 0x2500), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]:
+    for code in range(0x80, 0x110000):
         char = chr(code)
+        if unicodedata.category(char) in ("Cn", "Co", "Cs"):
+            continue
         base = "".join(x for x in unicodedata.normalize(form, char) if not unicodedata.combining(x))
         if base == char or char in spellings:
             continue
@@ -86,7 +88,7 @@ def _fold_tables(form: str, spelled: bool = False) -> tuple[str, str, tuple]:
             dropped.append(char)
         elif len(base) == 1:
             one[char] = base
-        elif code < 0x250 or code >= 0xFB00 or char in "…™№":
+        else:
             several[char] = base
     return "".join([*one, *dropped]), "".join(one.values()), tuple(several.items())
 
@@ -96,23 +98,53 @@ def _bound(c: Column | str, fn) -> Column:
     return F.transform(F.array(_col(c)), fn)[0]
 
 
+def _ranges(chars: Iterable[str]) -> str:
+    """Character class of the given characters, in ranges."""
+    codes, parts = sorted(map(ord, chars)), []
+    for code in codes:
+        if parts and code == parts[-1][1] + 1:
+            parts[-1][1] = code
+        else:
+            parts.append([code, code])
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in parts) + "]"
+
+
 def _fold(c: Column | str, form: str, spelled: bool) -> Column:
-    """Each step is guarded by a cheap character range, so plain ASCII texts are passed through
-    and the characters that become several are looked for only where they may be."""
-    source, target, several = _fold_tables(form, spelled)
-    letters = tuple(p for p in several if p[0] in "ßæœ")
-    signs = tuple(p for p in several if p not in letters)
+    """Each step is guarded by a character class, so plain ASCII texts are passed through, and the
+    characters that become several are looked for only where they are.
 
-    def widen(x: Column, pairs, guard: str) -> Column:
-        if not pairs:
+    Few texts hold such characters. Those texts are taken apart, and the n-th letter of each
+    character's counterpart comes from the n-th of a row of ``translate`` tables.
+    """
+    source, target, several = _fold_tables(form, spelled)
+    common = {p: q for p, q in several if p in "ßæœ"}
+    rest = {p: q for p, q in several if p not in common}
+    hangul = {p: q for p, q in rest.items() if "\uac00" <= p <= "\ud7a3"}
+    others = {p: q for p, q in rest.items() if p not in hangul}
+
+    def spread(char: Column, table: dict[str, str]) -> Column:
+        parts = []
+        for n in range(max(map(len, table.values()))):
+            having = [p for p in table if len(table[p]) > n]
+            lacking = [p for p in table if len(table[p]) <= n]
+            parts.append(F.translate(char, "".join(having + lacking),
+                                     "".join(table[p][n] for p in having)))
+        return F.concat(*parts)
+
+    def widen(x: Column) -> Column:
+        for p, q in common.items():
+            x = F.when(F.contains(x, F.lit(p)), F.replace(x, F.lit(p), F.lit(q))).otherwise(x)
+        if not rest:
             return x
-        replaced = reduce(lambda acc, p: F.replace(acc, F.lit(p[0]), F.lit(p[1])), pairs, x)
-        return F.when(x.rlike(guard), replaced).otherwise(x)
+        unusual, marked = _all_but("\x00\x7f", "ÀÖ", "Øö", "øÿ"), _ranges(rest)
+        syllable = lambda k: k.between("\uac00", "\ud7a3")
+        return _bound(x, lambda y: F.when(
+            y.rlike(unusual) & y.rlike(marked), F.array_join(F.transform(
+                F.split(y, ""), lambda k: F.when(k <= "\u009f", k).when(syllable(k), spread(k, hangul))
+                .when(k.rlike(marked), spread(k, others)).otherwise(k)), "")).otherwise(y))
 
     def fold(x: Column) -> Column:
-        widened = _bound(widen(x, letters, "[ßæœ]"),
-                         lambda y: widen(y, signs, _all_but("\x00\x7f", "ÀÖ", "Øö", "øÿ")))
-        return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(widened, source, target)).otherwise(x)
+        return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(widen(x), source, target)).otherwise(x)
 
     return _bound(c, fold)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import sized
+from .skew import first_per_key, sized
 
 # Text fields of each network that are modelled.
 TEXT_FIELDS = {
@@ -37,8 +37,8 @@ def load(raw: DataFrame, network: str, candidates: DataFrame) -> DataFrame:
     """(doc_id, texto_original, texto_stemizado, termo_busca) of every candidate at once.
 
     ``candidates`` has one column ``candidato``; names match without case and accents. Per
-    candidate the first document of each text is kept. The winners are found on digests, so the
-    texts are not shuffled for it and a text may have any number of copies.
+    candidate the first document of each text is kept, ranked on digests of the texts in one scan
+    and one shuffle; map tasks drop all but their first copy, so a text may have any number.
     """
     key = {"reddit": "id", "meta": "id", "youtube": "commentId"}[network]
     if network == "reddit":
@@ -47,7 +47,7 @@ def load(raw: DataFrame, network: str, candidates: DataFrame) -> DataFrame:
                                X.name_key("candidato").alias("_nome")).distinct()
     doc_id = F.coalesce(key, F.lit("")) if network == "youtube" else F.coalesce(key, "_id")
     docs = raw.select(
-        doc_id.alias("doc_id"),
+        doc_id.alias("doc_id"), F.col("_id"),
         original_text(raw, TEXT_FIELDS[network]).alias("texto_original"),
         X.drop_tokens(F.coalesce("processed_text", F.lit(""))).alias("texto_stemizado"),
         X.name_key(entity_name(network)).alias("_nome"),
@@ -57,8 +57,7 @@ def load(raw: DataFrame, network: str, candidates: DataFrame) -> DataFrame:
 
 
 def unique_texts(docs: DataFrame) -> DataFrame:
-    """First document (by id) of each text of a candidate."""
-    digest = F.sha2("texto_original", 256).alias("_d")
-    winners = docs.groupBy("termo_busca", digest).agg(F.min("doc_id").alias("doc_id"))
-    return docs.join(winners.select("termo_busca", "doc_id"), ["termo_busca", "doc_id"],
-                     "left_semi")
+    """First document (by id, then by the record's ``_id``) of each text of a candidate."""
+    marked = docs.withColumn("_digest", F.sha2("texto_original", 256))
+    return first_per_key(marked, ["termo_busca", "_digest"], [
+        F.asc_nulls_last("doc_id"), F.asc_nulls_last("_id"), "texto_stemizado"]).drop("_digest", "_id")

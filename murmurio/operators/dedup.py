@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import materialize
-from .skew import top_per_key
+from .skew import first_per_key, top_per_key
 
 
 def exact(docs: DataFrame, text: str, order: str) -> DataFrame:
-    """First document of each text.
+    """First document of each text, by ``order``; a row without an order value comes last.
 
-    The winners are found on (digest, order) alone, with the minimum taken in the map tasks; the
-    texts themselves are not shuffled for it. ``order`` must be unique.
+    One scan and one shuffle: rows are ranked by the digest of their text, and all but the first of
+    a map task leave before the shuffle. Of rows that repeat the order value too, one is kept. A
+    null text is a text of its own.
     """
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    winners = docs.groupBy(digest.alias("_d"), F.col(text).isNull().alias("_n")).agg(
-        F.min(order).alias(order))
-    return docs.join(winners.select(order), order, "left_semi")
+    marked = docs.withColumns({"_digest": digest, "_null": F.col(text).isNull()})
+    return first_per_key(marked, ["_digest", "_null"], [F.asc_nulls_last(order)]).drop(
+        "_digest", "_null")
 
 
 def prefix_groups(docs: DataFrame, doc_id: str, text: str, size: int = 60) -> DataFrame:

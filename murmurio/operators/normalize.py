@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import temporal as D
 from ..functions import text as X
-from ..functions.json import metadata_json
+from ..functions.json import metadata_json, nested
 
 COLUMNS = ["fonte", "canal", "termo_busca", "id_nativo", "id_mongo", "tipo", "url", "texto",
            "publicado_em", "coletado_em", "metadados"]
@@ -95,9 +95,9 @@ def ads(raw: DataFrame) -> DataFrame:
         tipo=F.lit("anuncio"),
         texto=bodies("ad_creative_bodies"),
         publicado_em=D.parse_iso("ad_delivery_start_time"),
-        metadados=metadata_json(**{c: c for c in (
-            "spend", "impressions", "page_name", "ad_delivery_stop_time",
-            "ad_creative_link_titles", "publisher_platforms")}),
+        metadados=metadata_json(spend=nested("spend"), impressions=nested("impressions"), **{
+            c: c for c in ("page_name", "ad_delivery_stop_time", "ad_creative_link_titles",
+                           "publisher_platforms")}),
     )
 
 

@@ -25,8 +25,9 @@ def sized(df: DataFrame) -> DataFrame:
     return df if estimated_bytes(df) <= limit else materialize(df, "lado")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list:
-    """Keys that own more than ``share`` of the rows (null included), in one pass.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE,
+             least: int = HOT_ROWS) -> list:
+    """Keys that own more than ``share`` and ``least`` of the rows (null included), in one pass.
 
     By arithmetic there are fewer than 1 / share such keys, so looking at that many of the most
     frequent keys misses none.
@@ -35,12 +36,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> li
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).observe(
         seen, F.sum("_n").alias("total"))
     top = counts.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
-    floor = max(share * (seen.get["total"] or 0), HOT_ROWS)
+    floor = max(share * (seen.get["total"] or 0), least)
     return [tuple(r[k] for k in keys) for r in top if r["_n"] > floor]
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: Sequence[str],
-                how: str = "left", salts: int = SALTS, hot: list | None = None) -> DataFrame:
+                how: str = "left", salts: int = SALTS, hot: list | None = None,
+                least: int = HOT_ROWS) -> DataFrame:
     """Equi-join whose hot keys on the left are spread over ``salts`` sub-keys.
 
     Only rows of hot keys are copied on the right side; without a hot key it is a plain join.
@@ -48,7 +50,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id:
     task gives a row the same salt again. Rows with a null key match nothing and are spread too.
     """
     keys = list(keys)
-    hot = hot_keys(left, keys) if hot is None else hot
+    hot = hot_keys(left, keys, least=least) if hot is None else hot
     if not hot:
         return left.join(right, keys, how)
     named = [k for k in hot if None not in k]
@@ -95,14 +97,18 @@ def draw_key(seed: int | str, *cols: Column | str) -> Column:
 
 
 def draw_rank(df: DataFrame, seed: int | str, row_id: str, by: Sequence[str] = (),
-              name: str = "posicao", digits: int = 3) -> DataFrame:
+              name: str = "posicao", digits: int = 4) -> DataFrame:
     """1-based rank of every row in the random order, over all rows or per group.
 
+    Rows without an id are drawn by all their columns, so they do not share one place in the order.
+
     A plain window over a handful of groups would sort each group in one task. Here the leading
     hex digits of the digest cut the order into 16^digits even buckets; the rank is the number of
     rows in earlier buckets plus the rank inside the bucket.
     """
-    drawn = df.withColumn("_draw", draw_key(seed, row_id)).withColumn(
+    row = F.when(F.col(row_id).isNull(), F.to_json(F.struct(*df.columns))).otherwise(
+        F.col(row_id).cast("string"))
+    drawn = df.withColumn("_draw", draw_key(seed, row)).withColumn(
         "_bucket", F.substring("_draw", 1, digits)
     )
     bucket = [*by, "_bucket"]

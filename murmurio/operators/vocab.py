@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import materialize
-from .skew import sized, first_per_key, salted_join
-
-# Words given to an expression as a literal set; longer lists are joined.
-LITERAL_WORDS = 20_000
-
+from .skew import first_per_key, sized
 
 def doc_freq(docs: DataFrame, tokens: Column) -> DataFrame:
     """Number of documents that hold each token."""
@@ -85,32 +81,27 @@ def low_idf_words(docs: DataFrame, text: str, percent: float = 0.1) -> DataFrame
     return scored.where(F.col("idf") <= F.lit(threshold)).select("palavra")
 
 
-def filter_by_idf(docs: DataFrame, doc_id: str, text: str, percent: float = 0.1) -> DataFrame:
+def filter_by_idf(docs: DataFrame, text: str, percent: float = 0.1) -> DataFrame:
     """Drop the most common words from every text (texts are split at single blanks)."""
-    return drop_words(docs, doc_id, text, low_idf_words(docs, text, percent))
-
-
-def drop_words(docs: DataFrame, doc_id: str, text: str, words: DataFrame) -> DataFrame:
-    """Texts without the given words, by literal set or, for a long list, by a salted join."""
-    listed = [r[0] for r in words.limit(LITERAL_WORDS + 1).collect()]
-    pieces = F.split(F.col(text), " ")
-    if len(listed) <= LITERAL_WORDS:
-        kept = F.filter(pieces, lambda t: ~t.isin(listed)) if listed else pieces
-        return docs.withColumn(text, F.array_join(kept, " "))
-    return _drop_words_by_join(docs, doc_id, text, words)
-
-
-def _drop_words_by_join(docs: DataFrame, doc_id: str, text: str, words: DataFrame) -> DataFrame:
-    """One row per token; the frequent words are hot keys of the join. A document's tokens meet
-    again under its id, so a group is one document."""
-    marked = words.select(F.col("palavra").alias("_t"), F.lit(True).alias("_fora"))
-    rows = docs.select(doc_id, F.posexplode(F.split(text, " ")).alias("_pos", "_t"))
-    joined = salted_join(rows, marked, ["_t"], [doc_id, "_pos"])
-    left = joined.where(F.col("_fora").isNull()).groupBy(doc_id).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "_t"))).alias("_kept"))
-    rebuilt = left.select(doc_id, F.array_join(F.col("_kept._t"), " ").alias("_texto"))
-    filled = F.when(F.col(text).isNotNull(), F.coalesce("_texto", F.lit("")))
-    return docs.join(rebuilt, doc_id, "left").withColumn(text, filled).drop("_texto")
+    return drop_words(docs, text, low_idf_words(docs, text, percent))
+
+
+def drop_words(docs: DataFrame, text: str, words: DataFrame) -> DataFrame:
+    """Texts without the given words (column ``palavra``; null words are ignored).
+
+    The words of each distinct text are looked up once; what a text must lose, a subset of its own
+    words, comes back under the text's digest. So ids need not be unique, a list may be of any
+    length, and a list that Spark can broadcast moves no token at all.
+    """
+    listed = words.select(F.col("palavra").alias("_t")).where("_t is not null").distinct()
+    digest = F.md5(F.col(text))
+    tokens = docs.select(digest.alias("_digest"), F.explode(F.array_distinct(
+        F.split(text, " "))).alias("_t"))
+    lost = tokens.join(listed, "_t").groupBy("_digest").agg(F.collect_set("_t").alias("_fora"))
+    kept = F.filter(F.split(F.col(text), " "), lambda t: ~F.array_contains("_fora", t))
+    marked = docs.withColumn("_digest", digest).join(lost, "_digest", "left")
+    return marked.withColumn(text, F.when(F.col("_fora").isNull(), F.col(text)).otherwise(
+        F.array_join(kept, " "))).select(*docs.columns)
 
 
 def destem(pairs: DataFrame, vowels: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,24 @@ from ..functions.wordlists import COLLECTION_SOURCE
 from ..schemas import RAW
 
 CORRUPT = "_corrupt_record"
+# read as they are, then brought to the type of the schema
+_LOOSE = re.compile(r"(\w+) (BIGINT|ARRAY<STRING>)(?=\s*(?:,|$))")
+
+
+def _settled(df: DataFrame, schema: str) -> DataFrame:
+    """Whole numbers also from 3.0 or '3', lists of texts also from a single text."""
+    for name, kind in _LOOSE.findall(schema):
+        value = F.col(name)
+        if kind == "BIGINT":
+            number = F.try_variant_get(value, "$", "string").try_cast("decimal(38,9)")
+            out = F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).cast("bigint")
+        else:
+            listed = F.try_variant_get(value, "$", "array<string>")
+            single = F.try_variant_get(value, "$", "string")
+            is_list = F.schema_of_variant(value).startswith("ARRAY")
+            out = F.when(is_list, listed).when(single.isNotNull(), F.array(single))
+        df = df.withColumn(name, out)
+    return df
 
 
 def read_raw(spark: SparkSession, path: str, collection: str | None = None,
@@ -23,8 +42,10 @@ def read_raw(spark: SparkSession, path: str, collection: str | None = None,
     The schema is given, never inferred; a line that is no JSON keeps its text in
     ``_corrupt_record``. ``presence`` adds ``campos``, the names of the fields a record holds,
     which tells an absent field from a null one. ``limit`` needs an ``order`` to be repeatable.
+    A whole number may be written 3.0 or '3', and a list of texts may be a single text.
     """
-    schema = schema or RAW[collection]
+    wanted = schema or RAW[collection]
+    schema = _LOOSE.sub(r"\1 VARIANT", wanted)
     if presence:
         lines = spark.read.text(path)
         parsed = F.from_json("value", f"{schema}, {CORRUPT} STRING",
@@ -34,6 +55,7 @@ def read_raw(spark: SparkSession, path: str, collection: str | None = None,
     else:
         df = (spark.read.schema(f"{schema}, {CORRUPT} STRING")
               .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    df = _settled(df, wanted)
     if where is not None:
         df = df.where(where)
     if columns:

@@ -143,18 +143,22 @@ def idf(t):
         list_contains(fora, x)), ' ') AS texto
     FROM documents, (SELECT list(palavra) AS fora FROM low_idf)""")
 def filter_by_idf(t):
-    return vocab.filter_by_idf(t.texts(), "doc_id", "text").select(
+    return vocab.filter_by_idf(t.texts(), "text").select(
         "doc_id", F.col("text").alias("texto"))
 
 
-@query("vocab.drop_words_by_join", """
+@query("vocab.drop_words", """
     SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda x: NOT
         list_contains(fora, x)), ' ') AS texto
-    FROM documents, (SELECT list(palavra) AS fora FROM low_idf)""")
-def drop_words_by_join(t):
-    """The way for a word list that is too long for a literal."""
+    FROM (SELECT doc_id, text FROM documents UNION ALL SELECT doc_id % 7, text || ' the de la'
+          FROM documents), (SELECT list(palavra) AS fora FROM low_idf)""")
+def drop_words(t):
+    """Repeated ids and a null word among the words to drop."""
+    docs = t.documents.select("doc_id", "text")
+    twice = docs.unionAll(docs.select(F.col("doc_id") % 7, F.concat("text", F.lit(" the de la"))))
     words = vocab.low_idf_words(t.texts(), "text")
-    return vocab._drop_words_by_join(t.texts(), "doc_id", "text", words).select(
+    null = words.limit(1).select(F.lit(None).cast("string").alias("palavra"))
+    return vocab.drop_words(twice, "text", words.unionAll(null)).select(
         "doc_id", F.col("text").alias("texto"))
 
 
@@ -186,9 +190,14 @@ def destem(t):
 # --- duplicates -------------------------------------------------------------------------------
 
 
-@query("dedup.exact", "SELECT min(doc_id) AS doc_id, text AS texto FROM documents GROUP BY text")
+@query("dedup.exact", """
+    SELECT coalesce(min(CASE WHEN doc_id % 11 > 0 THEN doc_id END), -1) AS doc_id, text AS texto
+    FROM documents GROUP BY text""")
 def dedup_exact(t):
-    return dedup.exact(t.documents, "text", "doc_id").select("doc_id", F.col("text").alias("texto"))
+    """Every raw row twice, some without an id."""
+    docs = t.documents.select(F.when(F.col("doc_id") % 11 > 0, F.col("doc_id")).alias("doc_id"), "text")
+    return dedup.exact(docs.unionAll(docs), "text", "doc_id").select(
+        F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), F.col("text").alias("texto"))
 
 
 SIGNATURE_SQL = "substr(" + strip_sql(
@@ -714,3 +723,16 @@ def readable_keywords(t):
                             candidates=30)
     return topics.keyword_lists(words).select("numero", F.array_join("palavras_chave", " ").alias(
         "palavras"))
+
+
+@query("skew.salted_join", """
+    SELECT d.doc_id, d.source, s.n FROM (
+        SELECT doc_id, CASE WHEN doc_id % 13 > 0 THEN source END AS source FROM documents) d
+    LEFT JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) s USING (source)""")
+def salted_join(t):
+    """Every source above a thousandth of the rows is salted, however small the table; null keys too."""
+    from murmurio.operators import skew
+
+    left = t.documents.select("doc_id", F.when(F.col("doc_id") % 13 > 0, F.col("source")).alias("source"))
+    right = t.documents.groupBy("source").agg(F.count("*").alias("n"))
+    return skew.salted_join(left, right, ["source"], ["doc_id"], least=0)

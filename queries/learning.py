@@ -77,14 +77,14 @@ def training_table(t):
 @query("sentiment.fit")
 def fit(t):
     table = sentiment.training_table(t.rotulado())
-    model = sentiment.fit(table, features=1 << 12)
+    model = sentiment.fit(table)
     return sentiment.predict(model, table).select("doc_id", "classe", "previsto")
 
 
 @query("sentiment.score")
 def score(t):
     """Pending comments scored by a model fitted on the labelled documents."""
-    model = sentiment.fit(sentiment.training_table(t.rotulado()), features=1 << 12)
+    model = sentiment.fit(sentiment.training_table(t.rotulado()))
     pending = incremental.pending_sentiment(t.documento(), t.sentimento())
     return sentiment.score(model, pending, 130)
 
@@ -92,7 +92,7 @@ def score(t):
 @query("sentiment.cross_validate")
 def cross_validate(t):
     table = sentiment.training_table(t.rotulado()).select("doc_id", "texto_limpo", "classe")
-    predicted = sentiment.cross_validate(table, "doc_id", features=1 << 10)
+    predicted = sentiment.cross_validate(table, "doc_id")
     return evaluation.fold_scores(predicted).select(
         "fold", F.round("f1_macro", 6).alias("f1_macro"), F.round("acuracia", 6).alias("acuracia"))
 

@@ -100,15 +100,23 @@ def norm_yt_comments(t):
 
 
 @query("normalize.ads", """
-    SELECT fonte, canal, termo_busca, id_nativo, tipo, publicado_em, texto, spend,
-        'facebook,instagram' AS plataformas FROM norm_ads""")
+    SELECT n.fonte, n.canal, n.termo_busca, n.id_nativo, n.tipo, n.publicado_em, n.texto,
+        p.page_id % 100 AS menor, '<null>' AS impressions,
+        CASE WHEN p.page_id % 4 <> 0 THEN 'Página ' || (p.page_id % 6) ELSE '<null>' END AS page_name,
+        '<null>' AS fim, p.url || ',' AS titulos, 'facebook,instagram' AS plataformas
+    FROM norm_ads n JOIN pages p ON n.id_nativo = 'a' || p.page_id""")
 def norm_ads(t):
     docs = normalize.ads(t.ads())
+    text = lambda name: F.coalesce(
+        F.get_json_object("metadados", f"$.{name}"), F.lit("<null>"))
+    listed = lambda name: F.array_join(F.from_json(F.get_json_object(
+        "metadados", f"$.{name}"), "array<string>"), ",")
     return docs.select(
         "fonte", "canal", "termo_busca", "id_nativo", "tipo", seconds("publicado_em"), "texto",
-        F.get_json_object("metadados", "$.spend").alias("spend"),
-        F.array_join(F.from_json(F.get_json_object("metadados", "$.publisher_platforms"),
-                                 "array<string>"), ",").alias("plataformas"))
+        F.get_json_object("metadados", "$.spend.lower").cast("bigint").alias("menor"),
+        text("impressions").alias("impressions"), text("page_name").alias("page_name"),
+        text("ad_delivery_stop_time").alias("fim"), listed("ad_creative_link_titles").alias("titulos"),
+        listed("publisher_platforms").alias("plataformas"))
 
 
 @query("normalize.select_sources", """
@@ -693,10 +701,10 @@ def pending_sentiment(t):
 
 @query("incremental.pending_sentiment_day", """
     SELECT id FROM documento d WHERE texto IS NOT NULL AND tipo IN ('comentario', 'resposta')
-    AND coletado_em >= TIMESTAMP '2024-01-05' AND coletado_em < TIMESTAMP '2024-01-06'
+    AND coletado_em >= TIMESTAMP '2024-01-02' AND coletado_em < TIMESTAMP '2024-01-03'
     AND NOT EXISTS (SELECT 1 FROM sentimento s WHERE s.documento_id = d.id AND modelo_id = 130)""")
 def pending_sentiment_day(t):
-    return incremental.pending_sentiment(t.documento(), t.sentimento(), "2024-01-05",
+    return incremental.pending_sentiment(t.documento(), t.sentimento(), "2024-01-02",
                                          model_id=130).select("id")
 
 

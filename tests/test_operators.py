@@ -1,7 +1,7 @@
 """Keyed writes, target resolution, skew, samples."""
 
 import pytest
-from murmurio.operators import dims, evaluation, resolve, sampling, skew, topics, upsert, vocab
+from murmurio.operators import dedup, dims, evaluation, resolve, sampling, skew, topics, upsert, vocab
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -202,13 +202,29 @@ def test_destem_covers_every_stem(spark, rows):
     assert got == [("aca", "acaso"), ("açã", "ação"), ("corr", "corre")]
 
 
-def test_drop_words_ways_agree(spark, rows):
-    docs = table(spark, [(1, "a b a c"), (2, "b"), (3, None), (4, "")], "id int, t string")
-    words = table(spark, [("a",), ("b",)], "palavra string")
-    by_literal = vocab.drop_words(docs, "id", "t", words)
-    by_join = vocab._drop_words_by_join(docs, "id", "t", words)
-    assert rows(by_literal, "id", "t") == rows(by_join, "id", "t") == [
-        (1, "c"), (2, ""), (3, None), (4, "")]
+def test_drop_words_is_a_set_operation(spark, rows):
+    docs = table(spark, [(1, "a b a c"), (1, "d b e"), (2, "b"), (3, None), (4, ""), (1, "a b a c")],
+                 "id int, t string")
+    words = table(spark, [("a",), ("b",), ("b",), (None,)], "palavra string")
+    assert rows(vocab.drop_words(docs, "t", words), "id", "t") == [
+        (1, "c"), (1, "c"), (1, "d e"), (2, ""), (3, None), (4, "")]
+    assert rows(vocab.drop_words(docs, "t", words.limit(0)), "id", "t") == rows(docs, "id", "t")
+
+
+def test_exact_duplicates_of_repeated_and_null_ids(spark, rows):
+    docs = table(spark, [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, None), (3, None), (4, ""), (0, "a")],
+                 "id int, t string")
+    assert rows(dedup.exact(docs, "t", "id")) == [(0, "a"), (2, None), (4, ""), (None, "b")]
+    plan = dedup.exact(docs, "t", "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
+
+
+def test_null_ids_are_drawn_apart(spark):
+    docs = spark.range(3000).selectExpr("cast(null as bigint) AS id", "id AS n")
+    got = skew.draw_rank(docs, 1, "id")
+    assert sorted(r.posicao for r in got.collect()) == list(range(1, 3001))
+    draws = docs.select(F.to_json(F.struct("id", "n")).alias("x")).select(skew.draw_key(1, "x").alias("d"))
+    assert draws.distinct().count() == 3000
 
 
 def test_outliers_are_never_described(spark, rows):

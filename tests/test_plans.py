@@ -138,8 +138,11 @@ def test_report(spark, world, rows):
 def test_preprocess(spark, world, rows):
     raw_root, _ = world
     target = scratch_path(spark, "processados")
-    out = preprocess.run(spark, f"{raw_root}/reddit", target, "reddit", ["uma"],
-                         "2026-01-05 00:00:00")
+    out, counts = preprocess.run(spark, f"{raw_root}/reddit", target, "reddit", ["uma"],
+                                 "2026-01-05 00:00:00")
+    assert counts["updated"] == 5
+    assert preprocess.run(spark, f"{raw_root}/reddit", target, "reddit", ["uma"],
+                          "2026-01-06 00:00:00")[1]["updated"] == 0
     got = {r._id: (r.processed_text, r.preprocessed_at is not None) for r in out.collect()}
     assert got[oid(3)] == ("comentário longo", False)
     assert got[oid(1)][0].startswith("obras ponte ponte nova") and got[oid(1)][1]

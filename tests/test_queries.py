@@ -15,7 +15,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     status, _, _, detail = compare.compare(spark, con, name, SF)
-    assert status in ("ok", "rows-only", "EMPTY"), detail
+    assert status == ("ok" if name in entry.oracle_sql() else "rows-only"), (status, detail)
 
 
 def test_every_sql_has_a_query():
