@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..functions import vectors as V
 from ..session import materialize
 from . import vocab
@@ -144,9 +145,21 @@ def reduce_dimensions(df: DataFrame, vector: str, n: int = 5) -> DataFrame:
     return model.transform(ready).withColumn("reduzido", vector_to_array("_p")).drop("_v", "_p")
 
 
-def term_counts(docs: DataFrame, tokens: Column, topic: str = "numero") -> DataFrame:
+def vectorizer_tokens(text: str, vowels: bool = False) -> Column:
+    """Words of a text as the vectoriser counts them: normalised, two word characters or more."""
+    return F.regexp_extract_all(X.vectorizer_normalize(text, vowels), F.lit(f"({X.WORD}{{2,}})"))
+
+
+def term_counts(docs: DataFrame, tokens: Column, topic: str = "numero",
+                stopwords: DataFrame | None = None) -> DataFrame:
+    """Occurrences of each word per topic; stop words (``palavra``) are never counted, so they are
+    part of no total."""
     rows = docs.where(F.col(topic) != -1).select(topic, F.explode(tokens).alias("palavra"))
-    return rows.groupBy(topic, "palavra").agg(F.count("*").alias("n"))
+    counts = rows.groupBy(topic, "palavra").agg(F.count("*").alias("n"))
+    if stopwords is None:
+        return counts
+    return counts.join(stopwords.select("palavra").distinct(), "palavra", "left_anti").select(
+        topic, "palavra", "n")
 
 
 def ctfidf(counts: DataFrame, topic: str = "numero") -> DataFrame:
@@ -169,15 +182,12 @@ def ctfidf(counts: DataFrame, topic: str = "numero") -> DataFrame:
 
 
 def keywords(weights: DataFrame, n: int = 10, topic: str = "numero",
-             stopwords: DataFrame | None = None, mapping: DataFrame | None = None,
-             candidates: int = MODEL_WORDS) -> DataFrame:
+             mapping: DataFrame | None = None, candidates: int = MODEL_WORDS) -> DataFrame:
     """The strongest words per topic in readable form, unique ignoring case, ``n`` at most.
 
     A topic model keeps its ``candidates`` strongest stems; ``mapping`` (raiz, palavra) turns them
     into words.
     """
-    if stopwords is not None:
-        weights = weights.join(sized(stopwords.select("palavra")), "palavra", "left_anti")
     ranked = top_per_key(weights, [topic], [F.desc(F.round("peso", 9)), "palavra"], candidates,
                          rank="_ordem")
     if mapping is not None:

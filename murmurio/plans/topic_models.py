@@ -48,7 +48,7 @@ def fit(corpus: DataFrame, vectors: DataFrame, out: str, entity: str, encoder_sl
     plain_stop = stop.select(X.vectorizer_normalize("palavra", vowels).alias("palavra")).distinct()
     plain_stop = materialize(plain_stop, "vazias")
     mapping = None if stems is None else vocab.destem(stems, vowels)
-    words = X.tokens(X.vectorizer_normalize("texto_stemizado", vowels))
+    words = topics.vectorizer_tokens("texto_stemizado", vowels)
     total = docs.count()
     groups = dedup.prefix_summary(dedup.prefix_groups(docs, "doc_id", "texto_original"), total)
     largest = dedup.largest_groups(docs, "doc_id", "texto_original")
@@ -57,9 +57,8 @@ def fit(corpus: DataFrame, vectors: DataFrame, out: str, entity: str, encoder_sl
         at = f"{out}/k{k}/bertopic_kmeans/{encoder_slug}"
         model, assigned = topics.fit_kmeans(docs, "embedding", k, p["seed"])
         assigned = materialize(assigned, "atribuicoes")
-        weights = topics.ctfidf(topics.term_counts(assigned, words))
-        keywords = topics.keyword_lists(topics.keywords(
-            weights, p["palavras"], stopwords=plain_stop, mapping=mapping))
+        weights = topics.ctfidf(topics.term_counts(assigned, words, stopwords=plain_stop))
+        keywords = topics.keyword_lists(topics.keywords(weights, p["palavras"], mapping=mapping))
         keywords = materialize(keywords, "palavras")
         line = F.concat(F.col("numero").cast("string"), F.lit(" - "),
                         F.array_join("palavras_chave", " "))

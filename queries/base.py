@@ -256,10 +256,10 @@ class Tables:
         return self.embeddings.select("vec_id", "embedding", number.alias("numero"))
 
     def topic_texts(self) -> DataFrame:
-        """Texts of the embedded documents with their topic."""
-        return self.texts().join(
-            self.topic_docs().select(F.col("vec_id").alias("doc_id"), "numero"), "doc_id"
-        ).select("doc_id", "text", "numero")
+        """All documents with their topic; one without a vector gets a topic by its length."""
+        of = self.topic_docs().select(F.col("vec_id").alias("doc_id"), F.col("numero").alias("_n"))
+        return self.texts().join(of, "doc_id", "left").select(
+            "doc_id", "text", F.coalesce("_n", (F.col("n_chars") % 9).cast("int")).alias("numero"))
 
 
 S = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -379,6 +379,7 @@ CTE = {
         SELECT vec_id, embedding, CASE WHEN label = 9 THEN -1 ELSE label END AS numero
         FROM embeddings""",
     "topic_texts": """
-        SELECT d.doc_id, d.text, t.numero FROM documents d JOIN topic_docs t ON d.doc_id = t.vec_id
+        SELECT d.doc_id, d.text, coalesce(t.numero, CAST(d.n_chars % 9 AS INT)) AS numero
+        FROM documents d LEFT JOIN topic_docs t ON d.doc_id = t.vec_id
         """,
 }

@@ -678,8 +678,16 @@ def infer(t):
 
 CTE["topic_term"] = f"""
     SELECT numero, palavra, count(*) AS n FROM (
-        SELECT numero, unnest({tokens_sql('strip_accents(lower(text))')}) AS palavra
+        SELECT numero, unnest(regexp_extract_all(strip_accents(lower(text)),
+            '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS palavra
         FROM topic_texts WHERE numero <> -1) GROUP BY 1, 2"""
+CTE["content_weight"] = """
+    WITH term AS (SELECT * FROM topic_term WHERE palavra NOT IN (SELECT palavra FROM accented)),
+    w AS (SELECT numero, sum(n) AS palavras FROM term GROUP BY numero),
+    a AS (SELECT floor(avg(palavras)) AS media FROM w),
+    f AS (SELECT palavra, sum(n) AS total FROM term GROUP BY palavra)
+    SELECT t.numero, t.palavra, t.n, t.n / w.palavras * ln(1.0 + a.media / f.total) AS peso
+    FROM term t JOIN w USING (numero) JOIN f USING (palavra), a"""
 CTE["topic_weight"] = """
     WITH w AS (SELECT numero, sum(n) AS palavras FROM topic_term GROUP BY numero),
     a AS (SELECT floor(avg(palavras)) AS media FROM w),
@@ -688,9 +696,9 @@ CTE["topic_weight"] = """
     FROM topic_term t JOIN w USING (numero) JOIN f USING (palavra), a"""
 
 
-def topic_weights(t):
+def topic_weights(t, stopwords=None):
     return topics.ctfidf(topics.term_counts(
-        t.topic_texts(), X.tokens(X.vectorizer_normalize("text"))))
+        t.topic_texts(), topics.vectorizer_tokens("text"), stopwords=stopwords))
 
 
 @query("topics.ctfidf", "SELECT numero, palavra, n, round(peso, 8) AS peso FROM topic_weight")
@@ -700,12 +708,11 @@ def ctfidf(t):
 
 @query("topics.keywords", """
     SELECT numero, palavra, CAST(row_number() OVER (PARTITION BY numero ORDER BY round(peso, 9)
-        DESC, palavra) AS INT) AS posicao FROM topic_weight WHERE palavra NOT IN
-        (SELECT palavra FROM accented) QUALIFY posicao <= 10""")
+        DESC, palavra) AS INT) AS posicao FROM content_weight QUALIFY posicao <= 10""")
 def keywords(t):
+    """Stop words are left out before anything is counted."""
     stop = freq(t).where("docs > 20").select("palavra")
-    return topics.keywords(topic_weights(t), 10, stopwords=stop).select(
-        "numero", "palavra", "posicao")
+    return topics.keywords(topic_weights(t, stop), 10).select("numero", "palavra", "posicao")
 
 
 @query("topics.readable_keywords", """
