@@ -41,6 +41,7 @@ from .hashing import mix, shingle_sets
 
 BANDS, ROWS = 24, 5
 BLOCK, BLOCK_SHINGLES = 128, 1_000_000
+BUCKETS = 1 << 20  # of fingerprints, by which texts outside clusters are left out before a shuffle
 CELLS = 1 << 24  # of the membership matrix held at once
 _rng = np.random.default_rng(7)
 _A = (_rng.integers(0, 2**31, (BANDS * ROWS // 2, 1), dtype=np.uint32) * np.uint32(2)) + np.uint32(1)
@@ -146,6 +147,10 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
     members = materialize(found.join(sizes, "root").select("_fp", "root", "k", "rep"), "members")
     texts = signed.select(F.col("_fp"), F.col(key).alias("_key"), F.col(text).alias("_text"))
 
+    bucket = F.pmod(F.xxhash64("_fp"), F.lit(BUCKETS)).cast("int")
+    wanted = members.select(bucket.alias("_bucket")).distinct()  # at most BUCKETS rows
+    texts = texts.withColumn("_bucket", bucket).join(F.broadcast(wanted), "_bucket", "left_semi")
+
     def with_text(rows: DataFrame) -> DataFrame:
         """The text of one document of each class (all rows that repeat its key)."""
         return rows.join(texts, (rows["_fp"] == texts["_fp"]) & rows["rep"].eqNullSafe(texts["_key"])
@@ -184,11 +189,15 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
     return done.unionAll(joined)
 
 
-def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5,
-                    percent: int = 80) -> DataFrame:
-    """``df`` with n_shingles, component_id (smallest key of the component), kept (the row has
-    that key) and _class (fingerprint of the component; null for an empty text)."""
+ADDED = ["n_shingles", "component_id", "kept", "_class"]
+
+
+def _find(df: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """The rows with columns c0, c1 ... in the order of ``df``, then those of ``ADDED``."""
     small_batches(df.sparkSession)
+    names = df.columns
+    df = df.toDF(*[f"c{i}" for i in range(len(names))])
+    key, text = f"c{names.index(key)}", f"c{names.index(text)}"
     signed = materialize(sign(df, text, shingle), "signed")
     classes = materialize(
         signed.where("_fp is not null").groupBy("_fp").agg(
@@ -201,11 +210,18 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", s
     ids = named.groupBy("_class").agg(F.min("rep").alias("component_id"))
     named = named.join(ids, "_class").select(F.col("_fp").alias("_fp2"), "_class", "component_id")
     out = signed.drop("_bands").join(named, F.col("_fp") == F.col("_fp2"), "left")
-    own = F.col("_class").isNull()
-    return out.withColumn("component_id", F.when(own, F.col(key)).otherwise(F.col("component_id"))).select(
-        *df.columns, "n_shingles", "component_id",
-        F.col(key).eqNullSafe(F.col("component_id")).alias("kept"),
-        F.coalesce("_class", "_fp").alias("_class"))
+    out = out.withColumn("component_id", F.when(F.col("_class").isNull(), F.col(key)).otherwise(F.col("component_id")))
+    return out.select(*df.columns, "n_shingles", "component_id",
+                      F.col(key).eqNullSafe(F.col("component_id")).alias("kept"),
+                      F.coalesce("_class", "_fp").alias("_class"))
+
+
+def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5,
+                    percent: int = 80) -> DataFrame:
+    """``df`` with n_shingles, component_id (smallest key of the component), kept (the row has
+    that key) and _class (fingerprint of the component; null for an empty text)."""
+    found = _find(df, key, text, shingle, percent)
+    return found.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(df.columns) if n not in ADDED], *ADDED)
 
 
 def deduplicate(df: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -214,9 +230,11 @@ def deduplicate(df: DataFrame, *, key: str = "doc_id", text: str = "text", shing
 
     Texts without words are kept.
     """
-    found = near_duplicates(df, key=key, text=text, shingle=shingle, percent=percent).where("kept")
+    found = _find(df, key, text, shingle, percent).where("kept")
+    k, t = f"c{df.columns.index(key)}", f"c{df.columns.index(text)}"
     # rows of one component that share the smallest key are ranked before they are shuffled
-    group = F.coalesce(F.hex("_class"), F.concat(F.lit("-"), F.xxhash64(key, text)))
-    rank = F.row_number().over(Window.partitionBy("_group").orderBy(F.md5(F.col(text))))
+    group = F.coalesce(F.hex("_class"), F.concat(F.lit("-"), F.xxhash64(k, t)))
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(F.md5(F.col(t))))
     return (found.withColumn("_group", group).withColumn("_rank", rank)
-            .where("_rank = 1 or _class is null").select(*df.columns))
+            .where("_rank = 1 or _class is null")
+            .select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(df.columns)]))
