@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import temporal as D
 from ..operators import models, upsert
-from ..operators.skew import sized, first_per_key
+from ..operators.skew import first_per_key
 
 DAY_DELAY = "2 hours"
 
@@ -115,6 +115,31 @@ def insert_new(root: str, name: str, schema: str, keys: Sequence[str],
     return handle
 
 
+def merge_new(root: str, name: str, schema: str, keys: Sequence[str], order: Sequence[Column | str],
+              follows: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler: append the rows whose key is new or whose column ``follows`` has changed.
+
+    Nothing stored is rewritten; ``read_latest`` takes the last version of each key. Of the earlier
+    batches only the keys and that column are read.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = read_inserted(spark, root, name, schema).where(F.col("lote") < batch_id)
+        known = first_per_key(earlier.select(*keys, F.md5(follows).alias("_antes"), "lote"), keys,
+                              [F.desc("lote")]).drop("lote").withColumn("_sabido", F.lit(True))
+        joined = first_per_key(batch, keys, order).join(known, list(keys), "left")
+        changed = F.col("_sabido").isNull() | ~F.md5(follows).eqNullSafe(F.col("_antes"))
+        joined.where(changed).select(*batch.columns).write.mode("overwrite").parquet(
+            version_path(root, name, batch_id))
+
+    return handle
+
+
+def read_latest(spark: SparkSession, root: str, name: str, schema: str, keys: Sequence[str]) -> DataFrame:
+    """The last version of each key that ``merge_new`` has written."""
+    return first_per_key(read_inserted(spark, root, name, schema), keys, [F.desc("lote")]).drop("lote")
+
+
 def read_inserted(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
     """All batches of ``insert_new`` with their number in ``lote``."""
     if latest_version(spark, root, name) is None:
@@ -155,12 +180,21 @@ def route(stream: DataFrame, model_rows: DataFrame, ts: str, days: int, epoch: s
     return models.current(dated, model_rows, "_dia", days, epoch).drop("_dia")
 
 
-def enrich_comments(stream: DataFrame, videos: DataFrame) -> DataFrame:
-    """Channel of each comment from the table of videos, which is read anew by every batch. A new
-    batch is small, so its join needs no salt; a large table of videos is not broadcast."""
+def enrich_comments(comments: DataFrame, videos: DataFrame) -> DataFrame:
+    """Channel of each comment from the table of videos. As a stream's join it uses the videos that
+    are there when the query starts; ``enrich_into`` reads them in every batch."""
     channels = first_per_key(videos.where(F.col("videoId").isNotNull()).select(
         "videoId", "channelId"), ["videoId"], ["channelId"])
-    return stream.join(sized(channels), "videoId", "left")
+    return comments.join(channels, "videoId", "left")
+
+
+def enrich_into(root: str, name: str, read_videos: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Batch handler: comments with their channel, from the videos stored when the batch runs."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        enrich_comments(batch, read_videos()).write.mode("overwrite").parquet(
+            version_path(root, name, batch_id))
+
+    return handle
 
 
 def target_state(stream: DataFrame, ts: str) -> DataFrame:

@@ -17,20 +17,28 @@ from .loading import _start_sql, model_rows
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
-def event_stream(t, parts=4):
-    """The events as files that arrive one after the other, in time order."""
+def finish(query_):
+    query_.awaitTermination()
+    if query_.exception() is not None:
+        raise query_.exception()
+
+
+def in_steps(t, start, parts=4):
+    """The events arrive in steps, in time order. Every task writes its part of a step, and one run
+    of the job works the step off."""
     path = scratch_path(t.spark, "eventos")
     ts = F.col("ts").cast("timestamp")
     step = F.floor(F.dayofmonth(ts) / (31 / parts)).cast("int")
     for i in range(parts):
-        t.events.withColumn("ts", ts).where(step == i).coalesce(1).write.mode("append").parquet(path)
-    return ST.read_new(t.spark, path, EVENTS, "parquet", files_per_batch=1)
+        t.events.withColumn("ts", ts).where(step == i).write.mode("append").parquet(path)
+        finish(start(ST.read_new(t.spark, path, EVENTS, "parquet")))
 
 
-def finish(query_):
-    query_.awaitTermination()
-    if query_.exception() is not None:
-        raise query_.exception()
+def appended_in_steps(t, job, schema):
+    out, marks = scratch_path(t.spark, "saida"), scratch_path(t.spark, "marcas")
+    cores = t.spark.sparkContext.defaultParallelism
+    in_steps(t, lambda stream: ST.append_files(job(stream), out, marks, cores))
+    return t.spark.read.schema(schema).parquet(out)
 
 
 def appended(t, stream, schema):
@@ -46,8 +54,8 @@ def appended(t, stream, schema):
         (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""")
 def daily_counts(t):
     """Closed days only: the last day stays open."""
-    out = appended(t, ST.daily_counts(event_stream(t), "ts", ["event_type"]),
-                   "dia date, event_type string, documentos bigint")
+    out = appended_in_steps(t, lambda s: ST.daily_counts(s, "ts", ["event_type"]),
+                            "dia date, event_type string, documentos bigint")
     return out.withColumn("dia", F.col("dia").cast("string"))
 
 
@@ -58,18 +66,18 @@ def daily_counts(t):
     HAVING CAST(min({_start_sql('ts')}) + 7 AS TIMESTAMP) <=
         (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""")
 def closed_periods(t):
-    out = appended(t, ST.closed_periods(event_stream(t), "ts", ["event_type"], 7, EPOCH),
-                   "inicio date, fim date, event_type string, documentos bigint")
+    out = appended_in_steps(t, lambda s: ST.closed_periods(s, "ts", ["event_type"], 7, EPOCH),
+                            "inicio date, fim date, event_type string, documentos bigint")
     return out.withColumns({c: F.col(c).cast("string") for c in ("inicio", "fim")})
 
 
 @query("streaming.unique_within", "SELECT event_id, event_type FROM events")
 def unique_within(t):
     """Every event arrives twice."""
-    stream = event_stream(t)
-    twice = stream.withColumn("_vez", F.explode(F.array(F.lit(1), F.lit(2))))
-    return appended(t, ST.unique_within(twice, ["event_id"], "ts", "2 days").select(
-        "event_id", "event_type"), "event_id bigint, event_type string")
+    twice = F.explode(F.array(F.lit(1), F.lit(2)))
+    return appended_in_steps(t, lambda s: ST.unique_within(
+        s.withColumn("_vez", twice), ["event_id"], "ts", "2 days").select("event_id", "event_type"),
+        "event_id bigint, event_type string")
 
 
 @query("streaming.route", f"""
@@ -80,10 +88,9 @@ def unique_within(t):
 def route(t):
     """Arriving documents -> model of the last closed period."""
     codes = F.array(*[F.lit(c) for c in ("ana_lima", "ze_ramos", "iris_couto", "otto_braga")])
-    stream = event_stream(t).select(
-        "event_id", "ts", F.lit("reddit").alias("fonte_codigo"),
-        F.element_at(codes, (F.col("user_id") % 4 + 1).cast("int")).alias("entidade_codigo"))
-    return appended(t, ST.route(stream, model_rows(t), "ts", 7, EPOCH).select(
+    coded = ["event_id", "ts", F.lit("reddit").alias("fonte_codigo"),
+             F.element_at(codes, (F.col("user_id") % 4 + 1).cast("int")).alias("entidade_codigo")]
+    return appended_in_steps(t, lambda s: ST.route(s.select(*coded), model_rows(t), "ts", 7, EPOCH).select(
         "event_id", "modelo_id"), "event_id bigint, modelo_id bigint")
 
 
@@ -94,20 +101,26 @@ COMMENTS = "commentId string, videoId string, text string"
     SELECT c.commentId, coalesce(v.channelId, '<null>') AS channelId
     FROM comments c LEFT JOIN videos v USING (videoId)""")
 def enrich_comments(t):
-    path = scratch_path(t.spark, "comentarios")
-    t.comments().select("commentId", "videoId", "text").repartition(3).write.json(path)
-    stream = ST.read_new(t.spark, path, COMMENTS, files_per_batch=1)
-    joined = ST.enrich_comments(stream, t.videos().select("videoId", "channelId"))
-    return appended(t, joined.select("commentId", F.coalesce("channelId", F.lit("<null>")).alias(
-        "channelId")), "commentId string, channelId string")
+    """Comments and videos arrive in two halves; the second run sees the videos that came between."""
+    inbox, table, root, marks = (scratch_path(t.spark, x) for x in ("comentarios", "videos", "canais", "marcas"))
+    half = F.pmod(F.xxhash64("videoId"), F.lit(2))
+    for i in range(2):
+        t.videos().where(half == i).select("videoId", "channelId").write.mode("append").parquet(table)
+        t.comments().where(half == i).select("commentId", "videoId", "text").write.mode("append").json(inbox)
+        read = lambda: t.spark.read.schema("videoId string, channelId string").parquet(table)
+        finish(ST.run_batches(ST.read_new(t.spark, inbox, COMMENTS), marks, ST.enrich_into(root, "canais", read)))
+    return ST.read_inserted(t.spark, root, "canais", f"{COMMENTS}, channelId string").select(
+        "commentId", F.coalesce("channelId", F.lit("<null>")).alias("channelId"))
 
 
 @query("streaming.ingest", """
-    SELECT id_nativo, tipo, publicado_em, texto FROM (
+    SELECT r.id_nativo, r.tipo, r.publicado_em, r.texto,
+        d.n_chars % 1000 + CASE WHEN d.doc_id % 5 = 0 THEN 1 ELSE 0 END AS score FROM (
         SELECT *, row_number() OVER (PARTITION BY canal, termo_busca, id_nativo ORDER BY id_mongo)
-            AS rn FROM norm_reddit) WHERE rn = 1""")
+            AS rn FROM norm_reddit) r JOIN documents d ON r.id_nativo = 'd' || d.doc_id WHERE rn = 1""")
 def ingest(t):
-    """New raw files -> documents, each key once, over two runs of the job."""
+    """New raw files -> documents, each key once, over two runs of the job; the metadata of a known
+    document follows its last record."""
     from murmurio.schemas import RAW
 
     inbox, root, marks = (scratch_path(t.spark, x) for x in ("entrada", "documentos", "marcas"))
@@ -115,15 +128,17 @@ def ingest(t):
     schema = ("fonte string, canal string, termo_busca string, id_nativo string, id_mongo string,"
               " tipo string, url string, texto string, publicado_em timestamp,"
               " coletado_em timestamp, metadados string")
-    raw = t.raw_reddit().drop(*EXTRA)
-    for batch in (raw.where("_tipo_documento = 'post'"), raw):
-        batch.repartition(2).write.mode("append").json(inbox)
-        stream = normalize.reddit(ST.read_new(t.spark, inbox, RAW["reddit"], files_per_batch=1))
-        finish(ST.run_batches(stream, marks, ST.insert_new(root, "documento", schema, keys,
-                                                           ["id_mongo"])))
-    docs = ST.read_inserted(t.spark, root, "documento", schema)
+    posts = t.raw_reddit().where("_tipo_documento = 'post'")
+    later = t.raw_reddit().withColumn("score", F.col("score") + (F.col("doc_id") % 5 == 0).cast("int"))
+    for batch in (posts, later):
+        batch.drop(*EXTRA).write.mode("append").json(inbox)
+        stream = normalize.reddit(ST.read_new(t.spark, inbox, RAW["reddit"]))
+        finish(ST.run_batches(stream, marks, ST.merge_new(root, "documento", schema, keys, ["id_mongo"],
+                                                          "metadados")))
+    docs = ST.read_latest(t.spark, root, "documento", schema, keys)
     return docs.select("id_nativo", "tipo", F.unix_timestamp("publicado_em").alias("publicado_em"),
-                       F.coalesce("texto", F.lit("<null>")).alias("texto"))
+                       F.coalesce("texto", F.lit("<null>")).alias("texto"),
+                       F.get_json_object("metadados", "$.score").cast("bigint").alias("score"))
 
 
 @query("streaming.upsert", """
@@ -133,11 +148,12 @@ def upsert_state(t):
     """Last event type per user after all batches."""
     root = scratch_path(t.spark, "estado")
     schema = "user_id bigint, ultimo string, existe boolean"
-    stream = event_stream(t).select("user_id", F.col("event_type").alias("ultimo"), "event_id",
-                                    F.lit(True).alias("existe"))
+    marks = scratch_path(t.spark, "marcas")
     handle = ST.upsert_into(root, "usuario", schema, ["user_id"], ["ultimo"],
                             [F.desc("event_id")])
-    finish(ST.run_batches(stream, scratch_path(t.spark, "marcas"), handle))
+    in_steps(t, lambda s: ST.run_batches(s.select(
+        "user_id", F.col("event_type").alias("ultimo"), "event_id", F.lit(True).alias("existe")),
+        marks, handle))
     return ST.read_state(t.spark, root, "usuario", schema)
 
 
@@ -145,12 +161,11 @@ def upsert_state(t):
     SELECT user_id AS alvo_coleta_id, event_type AS tipo_documento, count(*) AS total_documentos,
         epoch_us(min(ts)) AS primeiro, epoch_us(max(ts)) AS ultimo FROM events GROUP BY 1, 2""")
 def target_state(t):
-    root = scratch_path(t.spark, "estado")
-    stream = event_stream(t).select(F.col("user_id").alias("alvo_coleta_id"),
-                                    F.col("event_type").alias("tipo"), "ts")
-    finish(ST.run_batches(ST.target_state(stream, "ts"), scratch_path(t.spark, "marcas"),
-                          ST.write_whole(root, "alvo_coleta_estado"), "complete",
-                          t.spark.sparkContext.defaultParallelism))
+    root, marks = scratch_path(t.spark, "estado"), scratch_path(t.spark, "marcas")
+    cores = t.spark.sparkContext.defaultParallelism
+    in_steps(t, lambda s: ST.run_batches(ST.target_state(s.select(
+        F.col("user_id").alias("alvo_coleta_id"), F.col("event_type").alias("tipo"), "ts"), "ts"), marks,
+        ST.write_whole(root, "alvo_coleta_estado"), "complete", cores))
     state = ST.read_state(t.spark, root, "alvo_coleta_estado",
                           "alvo_coleta_id bigint, tipo_documento string, total_documentos bigint,"
                           " primeiro_publicado_em timestamp, ultimo_publicado_em timestamp")
