@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import temporal as D
@@ -48,14 +48,36 @@ def reconcile(records: DataFrame, loaded: DataFrame) -> DataFrame:
     )
 
 
-def report(records: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Summary per source with the flag that everything is loaded."""
-    counts = ["total", "nao_processados", "sem_id", "sem_alvo", "carregados", "ausentes",
-              "excedentes"]
-    joined = completeness(records).join(reconcile(records, loaded), "fonte", "full")
-    filled = joined.select("fonte", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+def report(records: DataFrame, loaded: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Summary per source with the flag that everything is loaded.
+
+    The records are read once: they are counted per key, which then meets the loaded keys.
+    ``sources`` (column ``fonte``) lists sources that are shown even without any row.
+    """
+    key = ["fonte", "alvo_coleta_id", "id_nativo"]
+    counted = records.groupBy(*key).agg(
+        F.count("*").alias("_n"), F.count_if(~F.col("processado")).alias("_pendentes"))
+    stored = loaded.select(*key).distinct().withColumn("_carregado", F.lit(True))
+    raw_side, stored_side = F.col("_n").isNotNull(), F.col("_carregado").isNotNull()
+    has_id, has_target = F.col("id_nativo").isNotNull(), F.col("alvo_coleta_id").isNotNull()
+    complete = raw_side & has_id & has_target
+
+    def total(condition: Column, amount: str = "_n") -> Column:
+        return F.sum(F.when(condition, F.col(amount)).otherwise(0))
+
+    out = counted.join(stored, key, "full").groupBy("fonte").agg(
+        total(raw_side).alias("total"), total(raw_side, "_pendentes").alias("nao_processados"),
+        total(raw_side & ~has_id).alias("sem_id"),
+        total(raw_side & has_id & ~has_target).alias("sem_alvo"),
+        F.count_if(complete & stored_side).alias("carregados"),
+        F.count_if(complete & ~stored_side).alias("ausentes"),
+        F.count_if(~raw_side & stored_side).alias("excedentes"))
+    if sources is not None:
+        numbers = [c for c in out.columns if c != "fonte"]
+        out = sources.select("fonte").distinct().join(out, "fonte", "full").select(
+            "fonte", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers])
     done = (F.col("ausentes") == 0) & (F.col("sem_alvo") == 0) & (F.col("sem_id") == 0)
-    return filled.withColumn("tudo_carregado", done)
+    return out.withColumn("tudo_carregado", done)
 
 
 def collection_audit(raw: DataFrame) -> DataFrame:

@@ -57,7 +57,8 @@ def completeness(spark: SparkSession, raw_root: str, root: str, generated_at: st
     # narrow rows that feed three aggregates
     records = materialize(audit(spark, raw_root, alvo, with_term), "auditoria")
     loaded = resolve.loaded_keys(sinks.read_partitioned(spark, root, "documento"), alvo)
-    report, daily = monitor.report(records, loaded), monitor.daily_counts(records)
+    sources = sinks.read_table(spark, root, "fonte").select(F.col("codigo").alias("fonte"))
+    report, daily = monitor.report(records, loaded, sources), monitor.daily_counts(records)
     return sinks.completeness_markdown(report, daily, generated_at), report, daily
 
 

@@ -307,9 +307,12 @@ def reconcile(t):
     SELECT c.*, coalesce(carregados, 0) AS carregados, coalesce(ausentes, 0) AS ausentes,
         coalesce(excedentes, 0) AS excedentes,
         coalesce(ausentes, 0) = 0 AND sem_alvo = 0 AND sem_id = 0 AS tudo_carregado
-    FROM c LEFT JOIN reconciled USING (fonte)""")
+    FROM c LEFT JOIN reconciled USING (fonte)
+    UNION ALL SELECT 'vazia', 0, 0, 0, 0, 0, 0, 0, true""")
 def report(t):
-    return monitor.report(audit(t), loaded(t))
+    """A source without rows is listed too."""
+    sources = t.spark.createDataFrame([("reddit",), ("vazia",)], "fonte string")
+    return monitor.report(audit(t), loaded(t), sources)
 
 
 @query("monitor.key_sets", """
