@@ -26,7 +26,7 @@ from .skew import draw_key, sized, top_per_key
 K_VALUES = [5, 10, 15, 20]
 SEED = 42
 MODEL_WORDS = 10
-MAX_TOPICS = 10_000
+CENTER_BLOCK = 10_000  # centroids that go to the tasks at once
 
 
 def dimension(df: DataFrame, vector: str) -> int:
@@ -72,34 +72,47 @@ def examples(df: DataFrame, doc_id: str, vector: str, n_total: int = 20, n_centr
 
 def assign(df: DataFrame, vector: str, centers: DataFrame, topic: str = "numero",
            metric: str = "l2") -> DataFrame:
-    """Nearest topic and its distance for every document.
+    """Nearest topic and its distance for every document; ties go to the lowest number.
 
-    The centroids are a handful of rows (refused beyond MAX_TOPICS) and go to the tasks as one
-    matrix; ties go to the lowest number.
+    The centroids go to the tasks as matrices of at most ``CENTER_BLOCK`` rows, however many there
+    are; each block yields its nearest, and the nearest of all blocks wins.
     """
-    rows = centers.select(topic, "centroide").orderBy(topic).limit(MAX_TOPICS + 1).collect()
-    if len(rows) > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics")
-    numbers = np.array([r[0] for r in rows], dtype=np.int32)
-    matrix = np.array([r[1] for r in rows], dtype=np.float64)
-
-    @F.pandas_udf(f"{topic} int, distancia double")
-    def nearest(batch: pd.Series) -> pd.DataFrame:
-        points = np.stack(batch.to_numpy()).astype(np.float64)
-        if metric == "cosine":
-            unit = points / np.linalg.norm(points, axis=1, keepdims=True)
-            around = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-            distance = 1.0 - unit @ around.T
-        else:
-            distance = np.stack(
-                [np.sqrt(((points - center) ** 2).sum(axis=1)) for center in matrix], axis=1)
-        best = distance.argmin(axis=1)
-        return pd.DataFrame({topic: numbers[best],
-                             "distancia": distance[np.arange(len(best)), best]})
-
-    found = df.where(F.col(vector).isNotNull()).withColumn("_n", nearest(F.col(vector)))
+    blocks = centers.count() // CENTER_BLOCK + 1
+    at = F.pmod(F.xxhash64(topic), F.lit(blocks))
+
+    def nearest_of(rows: list) -> Column:
+        numbers = np.array([r[0] for r in rows], dtype=np.int32)
+        matrix = np.array([r[1] for r in rows], dtype=np.float64)
+
+        @F.pandas_udf("distancia double, numero int")
+        def nearest(batch: pd.Series) -> pd.DataFrame:
+            points = np.stack(batch.to_numpy()).astype(np.float64)
+            if metric == "cosine":
+                unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+                around = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+                distance = 1.0 - unit @ around.T
+            else:
+                distance = np.stack(
+                    [np.sqrt(((points - center) ** 2).sum(axis=1)) for center in matrix], axis=1)
+            best = distance.argmin(axis=1)
+            return pd.DataFrame({"distancia": distance[np.arange(len(best)), best],
+                                 "numero": numbers[best]})
+
+        return nearest(F.col(vector))
+
+    found = df.where(F.col(vector).isNotNull())
+    names = []
+    for block in range(blocks):
+        rows = centers.where(at == block).select(topic, "centroide").orderBy(topic).collect()
+        if rows:
+            names.append(f"_n{block}")
+            found = found.withColumn(names[-1], nearest_of(rows))
     kept = [c for c in df.columns if c != topic]
-    return found.select(*kept, F.col(f"_n.{topic}").alias(topic), "_n.distancia")
+    if not names:
+        return found.limit(0).select(*kept, F.lit(None).cast("int").alias(topic),
+                                     F.lit(None).cast("double").alias("distancia"))
+    return found.withColumn("_n", F.array_min(F.array(*names))).select(
+        *kept, F.col("_n.numero").alias(topic), "_n.distancia")
 
 
 def assign_by(df: DataFrame, vector: str, centers: DataFrame, by: Sequence[str],

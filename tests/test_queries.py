@@ -4,7 +4,7 @@ import __spark_entry__ as entry
 import pytest
 from tools import compare
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     status, _, _, detail = compare.compare(spark, con, name, SF)
+    if status == "EMPTY":  # few rows meet the condition on the smallest tables
+        status, _, _, detail = compare.compare(spark, compare.duck(LARGER), name, LARGER)
     assert status == ("ok" if name in entry.oracle_sql() else "rows-only"), (status, detail)
 
 
