@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +36,13 @@ from pyspark.sql import functions as F
 
 from .batches import extend, schema_with, small_batches
 
-SAMPLE = 4000               # labelled documents of each class, about
+SAMPLE = 3000               # labelled documents of each class, about
 WINDOW = 5                  # characters
 TOXIC_BYTES, ORDINARY_BYTES = 112 << 10, 512 << 10
 FALSE_ALARM = 0.02          # most that a window's rate in ordinary texts may be of that in toxic ones
 SUPPORT = 0.005             # share of the toxic texts that hold a window of their dictionary
 GAIN = 4                    # bytes by which the toxic dictionary must be better
+TRAIN_BYTES = 8 << 20       # of coded ordinary texts that the trainer sees; it needs many times as much
 CACHE = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -122,29 +122,43 @@ def train(toxic: list[str], ordinary: list[str], weight: float = 1.0) -> Classif
     """Fit on the texts of the two classes; an ordinary text stands for ``weight`` of them."""
     if not toxic or not ordinary:
         return Classifier(b"\0" * 16, b"\0" * 16, (30.0 if toxic else -30.0, 0.0))
-    bad, good = [text_windows(t) for t in toxic], [text_windows(t) for t in ordinary]
-    n_bad, n_good = Counter(w for s in bad for w in s), Counter(w for s in good for w in s)
-    support = max(3, len(bad) * SUPPORT)  # what recurs among toxic texts, not one text's rare words
-    coded = {w: code(w) for w in n_bad.keys() | n_good.keys()}
-    telling = {w for w, n in n_bad.items() if n >= support
-               and (n_good[w] + 0.5) / len(good) <= FALSE_ALARM * n / len(bad)}
-    toxic_dict = _train([b"".join(coded[w] for w in sorted(s & telling)) for s in bad], TOXIC_BYTES)
+    index: dict[str, int] = {}
+
+    def numbered(text: str) -> np.ndarray:
+        return np.array([index.setdefault(w, len(index)) for w in text_windows(text)], np.int32)
+
+    bad, good = [numbered(t) for t in toxic], [numbered(t) for t in ordinary]
+    names = list(index)
+    n_bad, n_good = (np.bincount(np.concatenate(x), minlength=len(names)) for x in (bad, good))
+    # what recurs among toxic texts, not one text's rare words, and is rare in ordinary ones
+    telling = (n_bad >= max(3, len(bad) * SUPPORT)) & (
+        (n_good + 0.5) / len(good) <= FALSE_ALARM * n_bad / len(bad))
+    codes = lambda numbers: b"".join([code(names[i]) for i in np.sort(numbers)])
+    toxic_dict = _train([codes(s[telling[s]]) for s in bad], TOXIC_BYTES)
     known = _compressor(toxic_dict)
-    missed = [w for w in telling if len(known.compress(coded[w])) >= len(coded[w])]
-    missed.sort(key=lambda w: (n_bad[w], w), reverse=True)  # what the trainer left out
-    toxic_dict += b"".join(coded[w] for w in missed)[:max(0, TOXIC_BYTES - len(toxic_dict))]
-    ordinary_dict = _train([b"".join(coded[w] for w in sorted(s)) for s in good], ORDINARY_BYTES)
+    missed = [i for i in np.flatnonzero(telling) if len(known.compress(code(names[i]))) >= 16]
+    missed.sort(key=lambda i: (n_bad[i], names[i]), reverse=True)  # what the trainer left out
+    toxic_dict += codes(np.array(missed, np.int64))[:max(0, TOXIC_BYTES - len(toxic_dict))]
+    samples, size = [], 0
+    for s in good:
+        samples.append(codes(s))
+        size += len(samples[-1])
+        if size > TRAIN_BYTES:
+            break
+    ordinary_dict = _train(samples, ORDINARY_BYTES)
+    del samples
     known = _compressor(toxic_dict)
-    known = [w for w, c in coded.items() if len(known.compress(c)) < len(c)]
-    alarms = sorted(w for w in known if w not in telling)
+    known = [i for i, w in enumerate(names) if len(known.compress(code(w))) < 16]
+    alarms = [i for i in known if not telling[i]]
     for _ in range(5):
-        ordinary_dict += b"".join(coded[w] for w in alarms)
+        ordinary_dict += b"".join(code(names[i]) for i in alarms)
         model = Classifier(toxic_dict, ordinary_dict, (0.0, 0.0))
-        alarms = [w for w in alarms if model.gain(w) >= GAIN]
+        alarms = [i for i in alarms if model.gain(names[i]) >= GAIN]
         if not alarms:
             break
-    hits = {w for w in known if model.gain(w) >= GAIN}
-    counts = np.array([len(s & hits) for s in bad + good], float)
+    hit = np.zeros(len(names), bool)
+    hit[[i for i in known if model.gain(names[i]) >= GAIN]] = True
+    counts = np.array([hit[s].sum() for s in bad + good], float)
     labels = np.array([1.0] * len(bad) + [0.0] * len(good))
     return Classifier(toxic_dict, ordinary_dict, _logistic(
         np.log1p(counts), labels, np.where(labels == 1, 1.0, weight)))
