@@ -178,10 +178,11 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = open_folder(folder)
+        n_files = 0
         for batch in batches:
-            for i, source in enumerate(batch.column("path").to_pylist()):
+            for source in batch.column("path").to_pylist():
                 system.create_dir(base, recursive=True)
-                path = f"{base}/{_name('normal')}-{batch.num_rows}-{uuid.uuid4().hex[:8]}-{i}.warc.gz"
+                path = f"{base}/{_name('normal')}-{n_files:06d}.warc.gz"
                 at, n = 0, 0
                 with (system.open_input_stream(source, compression=None) as data,
                       system.open_output_stream(path, compression=None) as out,
@@ -193,6 +194,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                         index.write(json.dumps(line).encode() + b"\n")
                         at += len(packed)
                         n += 1
+                n_files += 1
                 yield pa.RecordBatch.from_pydict({"path": [path], "index": [f"{path}.idx"], "records": [n]})
 
     spread = archives.select("path").repartition(archives.sparkSession.sparkContext.defaultParallelism * 2, "path")

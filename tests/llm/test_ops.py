@@ -130,11 +130,9 @@ def test_decontamination(spark, docs):
                 want[r.doc_id, key, len(s), len(s & own)] += 1
     got = collections.Counter(tuple(r)[:4] for r in decontamination.find_leaks(docs, bench).collect())
     assert got == want and len(want) > 8
-    dirty = {k[0] for k in want}
     left = decontamination.decontaminate(docs, bench)
     assert left.columns == docs.columns
-    assert left.count() == docs.count() - sum(1 for r in docs.collect() if r.doc_id in dirty and any(
-        k[0] == r.doc_id for k in want) and hits(r.text, items))
+    assert left.count() == sum(not hits(r.text, items) for r in docs.collect())
     none = spark.createDataFrame([], bench.schema)
     assert decontamination.find_leaks(docs, none).count() == 0
     assert decontamination.decontaminate(docs, none).count() == docs.count()
@@ -215,8 +213,7 @@ def test_token_files_prune_by_key(spark, docs):
     path = tokenfiles.write(docs, tokenfiles.scratch_path(spark, "t"))
     found = tokenfiles.look_up(spark, path, [3, 5])
     assert sorted(r.doc_id for r in found.collect()) == [3, 5, 5]
-    assert "PushedFilters: [IsNotNull(part), In(doc_id" in found._jdf.queryExecution().toString() or "In(doc_id, [3,5])" in \
-        found._jdf.queryExecution().toString()
+    assert "In(doc_id, [3,5])" in found._jdf.queryExecution().toString()
 
 
 PAGES = "page_id long, url string, html string, digest int"
@@ -262,8 +259,7 @@ def test_min_cost_flow():
 def test_resharding(spark, docs):
     many = docs.unionAll(docs.withColumn("doc_id", F.col("doc_id") + 100)).where("length(text) < 9000 or text is null")
     many = many.unionAll(many.withColumn("doc_id", F.col("doc_id") + 1000))
-    placed = resharding.reshard(many, F.col("label") % 3, 4) if False else resharding.reshard(
-        many.fillna({"label": 0}), F.col("label") % 3, 4)
+    placed = resharding.reshard(many.fillna({"label": 0}), F.col("label") % 3, 4)
     rows = placed.collect()
     assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows if r.doc_id is not None) == sorted(
         (r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in many.collect() if r.doc_id is not None)
@@ -274,7 +270,7 @@ def test_resharding(spark, docs):
         slots[r.shard].append(r.slot)
     assert max(sizes.values()) - min(sizes.values()) <= 2 * max(r.size for r in rows)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    path = resharding.scratch(spark) if hasattr(resharding, "scratch") else tokenfiles.scratch_path(spark, "shards")
+    path = tokenfiles.scratch_path(spark, "shards")
     resharding.rewrite(many.drop("label"), placed, path, affected_only=False)
     back = spark.read.parquet(path)
     assert back.count() == many.count()
