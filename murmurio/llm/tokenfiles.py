@@ -88,9 +88,9 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         """Ids as 32-bit integers of this machine."""
-        if len(self.pieces) > CACHE or len(self.words) > CACHE:
-            self.pieces.clear()
-            self.words.clear()
+        for cache in (self.pieces, self.words):  # words recur in more pieces than pieces do in texts
+            if len(cache) > CACHE:
+                cache.clear()
         out: list[bytes] = []
         parts = self.cut.split(text or "") if self.cut and "<|" in (text or "") else [text or ""]
         for i, part in enumerate(parts):
