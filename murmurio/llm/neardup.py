@@ -137,11 +137,13 @@ def _compare(units: DataFrame, shingle: int, percent: int) -> DataFrame:
 
 def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
     """(_fp, root) of the classes that are linked with another."""
-    keyed = classes.select("_fp", F.explode("_bands").alias("band"))
-    hubs = keyed.groupBy("band").agg(F.min("_fp").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    ties = keyed.join(hubs, "band").where(F.col("_fp") != F.col("hub"))
-    clusters = connected_components(ties.select(F.col("_fp").alias("a"), F.col("hub").alias("b")))
-    found = clusters.withColumnRenamed("node", "_fp").join(classes.drop("_bands"), "_fp")
+    # 64-bit numbers stand for the classes here; should two share one, a cluster gets a class too many
+    classes = classes.withColumn("node", F.xxhash64("_fp"))
+    keyed = classes.select("node", F.explode("_bands").alias("band"))
+    hubs = keyed.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    ties = keyed.join(hubs.drop("n"), "band").where(F.col("node") != F.col("hub"))
+    clusters = connected_components(ties.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    found = clusters.join(classes.drop("_bands"), "node")
     sizes = found.groupBy("root").agg(F.ceil(F.greatest(
         F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("k"))
     members = materialize(found.join(sizes, "root").select("_fp", "root", "k", "rep"), "members")
@@ -157,7 +159,7 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
                          ).drop(texts["_fp"])
 
     chunk = F.pmod(F.xxhash64("_fp"), F.col("k"))
-    units = members.withColumn("unit", F.concat_ws(":", F.hex("root"), chunk))
+    units = members.withColumn("unit", F.concat_ws(":", "root", chunk))
     units = with_text(units)
     first = _compare(units, shingle, percent).drop("unit")
     first = materialize(first.join(members, "_fp"), "parts")
@@ -180,7 +182,7 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
     pairs = blocks.join(other, "root").where(
         (F.col("block") <= F.col("block2")) & ~F.coalesce(F.col("owner") == F.col("owner2"), F.lit(False)))
     pairs = pairs.select("root", F.array_distinct(F.array("block", "block2")).alias("both"),
-                         F.concat_ws(":", F.hex("root"), "block", "block2").alias("unit"))
+                         F.concat_ws(":", "root", "block", "block2").alias("unit"))
     pairs = pairs.select("root", "unit", F.explode("both").alias("block"))
     more = _compare(with_text(placed.join(pairs, ["root", "block"])), shingle, percent)
     edges = several.select(F.col("_fp").alias("a"), F.col("label").alias("b")).unionAll(
