@@ -9,12 +9,14 @@ window is written as a 16-byte code: known to a dictionary it becomes a match of
 unknown it stays 16 literals. What is compared are the lengths of the compressed codes.
 
 Toxic texts consist mostly of ordinary words. So the toxic dictionary is trained on those of their
-windows that recur among toxic texts and are rare in ordinary ones, and what it knows beyond them
-is added to the ordinary dictionary. Then a logistic curve over the number of toxic windows of a document gives the
-score; 0.5 is the threshold.
+windows that occur more often in toxic texts than chance explains, also where many ordinary texts hold
+them once, and what it knows beyond them is added to the ordinary dictionary. Then a logistic curve
+over the occurrences of toxic windows in a document and their density gives the score; 0.5 is the
+threshold. A word that occurs n times counts as often as n has binary digits, in training and in
+scoring alike, so repetition speaks, and a line repeated many times does not decide alone.
 
 The sample is bounded: about ``SAMPLE`` labelled documents of each class, drawn by a hash of their
-key. Scoring reads whole texts, and needs nothing but the two dictionaries and two numbers.
+key. Scoring reads whole texts, and needs nothing but the two dictionaries and three numbers.
 
 Defined results: a null or empty text has no windows and gets the score of a text without toxic
 windows; contradicting labels of a key count as toxic; labels that are null are ignored; without
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +42,8 @@ from .batches import extend, schema_with, small_batches
 SAMPLE = 3000               # labelled documents of each class, about
 WINDOW = 5                  # characters
 TOXIC_BYTES, ORDINARY_BYTES = 112 << 10, 512 << 10
-FALSE_ALARM = 0.02          # most that a window's rate in ordinary texts may be of that in toxic ones
-SUPPORT = 0.005             # share of the toxic texts that hold a window of their dictionary
+EVIDENCE = 20.0             # least log-likelihood ratio of a toxic window's occurrences in the two classes
+RATIO = 8.0                 # least ratio of their rates, as languages may have unequal shares of the classes
 GAIN = 4                    # bytes by which the toxic dictionary must be better
 TRAIN_BYTES = 8 << 20       # of coded ordinary texts that the trainer sees; it needs many times as much
 CACHE = 300_000
@@ -56,11 +59,15 @@ def code(window: str) -> bytes:
     return hashlib.blake2b(window.encode("utf-8", "replace"), digest_size=16).digest()
 
 
-def text_windows(text: str | None) -> set[str]:
-    out: set[str] = set()
-    for word in set(_WORD.findall((text or "").lower())):
-        out |= windows(word)
-    return out
+def text_windows(text: str | None) -> tuple[Counter[str], int]:
+    """Occurrences of the windows of a text, and of its words."""
+    out: Counter[str] = Counter()
+    total = 0
+    for word, n in Counter(_WORD.findall((text or "").lower())).items():
+        total += n.bit_length()
+        for w in windows(word):
+            out[w] += n.bit_length()
+    return out, total
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -85,9 +92,9 @@ def _train(samples: list[bytes], size: int) -> bytes:
 
 
 class Classifier:
-    """Two dictionaries and the curve that turns a number of toxic windows into a score."""
+    """Two dictionaries and the curve that turns occurrences of toxic windows into a score."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, curve: tuple[float, float]):
+    def __init__(self, toxic: bytes, ordinary: bytes, curve: tuple[float, ...]):
         self.toxic, self.ordinary, self.curve = toxic, ordinary, curve
         self._ready = None
 
@@ -102,37 +109,54 @@ class Classifier:
         known = len(self._ready[0].compress(data))
         return len(self._ready[1].compress(data)) - known if known < len(data) else 0
 
-    def score(self, toxic_windows: np.ndarray) -> np.ndarray:
-        a, b = self.curve
-        return 1 / (1 + np.exp(-(a + b * np.log1p(toxic_windows))))
+    def score(self, toxic_windows: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(_design(toxic_windows, words) @ np.array(self.curve), -700, 700)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope by Newton steps with a small penalty."""
-    design, beta = np.stack([np.ones_like(x), x], axis=1), np.zeros(2)
+def _design(toxic_windows: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Columns of the curve: 1, occurrences, occurrences in a thousand words."""
+    density = 1000 * toxic_windows / np.maximum(1, words)
+    return np.stack([np.ones(len(density)), np.log1p(toxic_windows), np.log1p(density)], axis=1)
+
+
+def _logistic(design: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
+    """Intercept and slopes by Newton steps with a small penalty."""
+    beta, penalty = np.zeros(3), np.array([0.01, 0.1, 0.1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (weight * (p - y)) + np.array([0.01, 0.1]) * beta
-        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag([0.01, 0.1])
+        grad = design.T @ (weight * (p - y)) + penalty * beta
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag(penalty)
         beta -= np.clip(np.linalg.solve(hess, grad), -5, 5)
-    return float(beta[0]), float(beta[1])
+    return tuple(map(float, beta))
+
+
+def _telling(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> np.ndarray:
+    """Which windows occur ``bad`` times in toxic texts and ``good`` times in ordinary ones by no chance."""
+    share = n_bad / (n_bad + n_good)
+    part = lambda n, of: n * np.log(np.maximum(n, 1) / np.maximum(of, 1e-9))
+    evidence = 2 * (part(bad, (bad + good) * share) + part(good, (bad + good) * (1 - share)))
+    return (evidence >= EVIDENCE) & (bad * n_good >= RATIO * good * n_bad)
 
 
 def train(toxic: list[str], ordinary: list[str], weight: float = 1.0) -> Classifier:
     """Fit on the texts of the two classes; an ordinary text stands for ``weight`` of them."""
     if not toxic or not ordinary:
-        return Classifier(b"\0" * 16, b"\0" * 16, (30.0 if toxic else -30.0, 0.0))
+        return Classifier(b"\0" * 16, b"\0" * 16, (30.0 if toxic else -30.0, 0.0, 0.0))
     index: dict[str, int] = {}
 
-    def numbered(text: str) -> np.ndarray:
-        return np.array([index.setdefault(w, len(index)) for w in text_windows(text)], np.int32)
+    def numbered(text: str) -> tuple[np.ndarray, np.ndarray, int]:
+        counts, total = text_windows(text)
+        return (np.array([index.setdefault(w, len(index)) for w in counts], np.int32),
+                np.fromiter(counts.values(), np.int32, len(counts)), total)
 
-    bad, good = [numbered(t) for t in toxic], [numbered(t) for t in ordinary]
+    parts = [[numbered(t) for t in texts] for texts in (toxic, ordinary)]
+    bad, good = ([p[0] for p in x] for x in parts)
     names = list(index)
-    n_bad, n_good = (np.bincount(np.concatenate(x), minlength=len(names)) for x in (bad, good))
-    # what recurs among toxic texts, not one text's rare words, and is rare in ordinary ones
-    telling = (n_bad >= max(3, len(bad) * SUPPORT)) & (
-        (n_good + 0.5) / len(good) <= FALSE_ALARM * n_bad / len(bad))
+    n_bad = np.bincount(np.concatenate(bad), minlength=len(names))
+    occurrences = [np.bincount(np.concatenate([p[0] for p in x]), np.concatenate([p[1] for p in x]),
+                               minlength=len(names)) for x in parts]
+    # what recurs among toxic texts, not one text's rare words
+    telling = (n_bad >= 3) & _telling(*occurrences, len(bad), len(good))
     codes = lambda numbers: b"".join([code(names[i]) for i in np.sort(numbers)])
     toxic_dict = _train([codes(s[telling[s]]) for s in bad], TOXIC_BYTES)
     known = _compressor(toxic_dict)
@@ -141,7 +165,7 @@ def train(toxic: list[str], ordinary: list[str], weight: float = 1.0) -> Classif
     toxic_dict += codes(np.array(missed, np.int64))[:max(0, TOXIC_BYTES - len(toxic_dict))]
     samples, size = [], 0
     for s in good:
-        samples.append(codes(s))
+        samples.append(codes(s[~telling[s]]))
         size += len(samples[-1])
         if size > TRAIN_BYTES:
             break
@@ -152,16 +176,17 @@ def train(toxic: list[str], ordinary: list[str], weight: float = 1.0) -> Classif
     alarms = [i for i in known if not telling[i]]
     for _ in range(5):
         ordinary_dict += b"".join(code(names[i]) for i in alarms)
-        model = Classifier(toxic_dict, ordinary_dict, (0.0, 0.0))
+        model = Classifier(toxic_dict, ordinary_dict, (0.0, 0.0, 0.0))
         alarms = [i for i in alarms if model.gain(names[i]) >= GAIN]
         if not alarms:
             break
     hit = np.zeros(len(names), bool)
     hit[[i for i in known if model.gain(names[i]) >= GAIN]] = True
-    counts = np.array([hit[s].sum() for s in bad + good], float)
+    counts = np.array([n[hit[s]].sum() for x in parts for s, n, _ in x], float)
+    totals = np.array([total for x in parts for *_, total in x], float)
     labels = np.array([1.0] * len(bad) + [0.0] * len(good))
     return Classifier(toxic_dict, ordinary_dict, _logistic(
-        np.log1p(counts), labels, np.where(labels == 1, 1.0, weight)))
+        _design(counts, totals), labels, np.where(labels == 1, 1.0, weight)))
 
 
 def held_out(key: Column) -> Column:
@@ -189,35 +214,35 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
 
 def _counter(model: Classifier):
-    """Function of a list of texts: toxic windows of each. Words are looked at once per worker."""
-    by_word: dict[str, frozenset] = {}
+    """Function of a list of texts: occurrences of toxic windows and of words in each. A word is looked
+    at once per worker."""
+    by_word: dict[str, int] = {}
     gains: dict[str, bool] = {}
 
-    def toxic(chunk: str) -> frozenset:
-        found = set()
-        for word in _WORD.findall(chunk):
-            for w in windows(word):
-                if w not in gains:
-                    gains[w] = model.gain(w) >= GAIN
-                if gains[w]:
-                    found.add(w)
-        return frozenset(found)
-
-    def count(texts: list[str | None]) -> np.ndarray:
-        counts = []
+    def toxic(word: str) -> int:
+        found = 0
+        for w in windows(word):
+            if w not in gains:
+                gains[w] = model.gain(w) >= GAIN
+            found += gains[w]
+        return found
+
+    def count(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        counts, totals = [], []
         for body in texts:
-            found: set[str] = set()
-            for chunk in set((body or "").lower().split()):
-                hits = by_word.get(chunk)
+            found = total = 0
+            for word, n in Counter(_WORD.findall((body or "").lower())).items():
+                hits = by_word.get(word)
                 if hits is None:
-                    hits = by_word[chunk] = toxic(chunk)
-                if hits:
-                    found |= hits
-            counts.append(len(found))
+                    hits = by_word[word] = toxic(word)
+                total += n.bit_length()
+                found += hits * n.bit_length()
+            counts.append(found)
+            totals.append(total)
         for cache in (by_word, gains):
             if len(cache) > CACHE:
                 cache.clear()
-        return np.array(counts, np.int64)
+        return np.array(counts, np.int64), np.array(totals, np.int64)
 
     return count
 
@@ -230,8 +255,8 @@ def score(df: DataFrame, model: Classifier, *, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(sent.value)
         for batch in batches:
-            counts = count(batch.column(text).to_pylist())
-            p = sent.value.score(counts)
+            counts, totals = count(batch.column(text).to_pylist())
+            p = sent.value.score(counts, totals)
             yield extend(batch, {"toxic_windows": pa.array(counts, pa.int64()),
                                  "score": pa.array(p, pa.float64()),
                                  "predicted": pa.array((p >= 0.5).astype(np.int32), pa.int32())})
@@ -247,7 +272,7 @@ def drop_toxic(df: DataFrame, model: Classifier, *, text: str = "text") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(sent.value)
         for batch in batches:
-            keep = sent.value.score(count(batch.column(text).to_pylist())) < 0.5
+            keep = sent.value.score(*count(batch.column(text).to_pylist())) < 0.5
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

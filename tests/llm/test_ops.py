@@ -341,6 +341,27 @@ def test_toxicity(spark):
     assert toxicity.score(spark.createDataFrame([], docs.schema), model).count() == 0
 
 
+def test_toxicity_by_occurrences(spark):
+    """A small language whose insults also stand once in many of its ordinary texts is not lost."""
+    rows, marks = [], []
+    for i in range(2800):
+        small, toxic = i % 5 == 0, i % 7 == 0
+        body = [f"{'lk' if small else 'w'}{chr(97 + (i * 31 + j * j) % 23)}{chr(97 + (i + j * 7) % 19)}" for j in range(60)]
+        if toxic or small and i % 3 == 0:
+            for j in range(7 if toxic else 1):
+                body[3 + 8 * j] = ("achlich" if small else "grumbo") + chr(97 + (i + j * 5) % 26)
+        rows.append((i, " ".join(body)))
+        if i % 2:
+            marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    for small in (False, True):
+        found = [got[i] for i in range(0, 2800, 14) if (i % 5 == 0) == small]
+        wrong = [got[i] for i in range(0, 2800, 2) if (i % 5 == 0) == small and i % 7]
+        assert sum(found) >= 0.9 * len(found) > 0 and sum(wrong) <= 0.02 * len(wrong)
+
+
 def test_class_model(spark, docs):
     got = classlm.score_texts(docs, rounds=2).collect()
     rows = [(r.doc_id, r.text) for r in docs.collect()]
