@@ -95,6 +95,6 @@ def warc_normaliser(table):
 def flow_resharding(table):
     # the old layout: twelve shards by source, as a crawl leaves them, so their sizes differ widely
     old = F.pmod(F.xxhash64("source"), F.lit(12))
-    placed = resharding.reshard(table("documents"), old, 16)
+    placed = resharding.round_trip(table("documents"), old, 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard")

@@ -6,6 +6,9 @@ says how many bytes go where (staying costs nothing), and whole blocks are dealt
 first, to the flows with the most bytes left. Rows find their new shard by a join with the block
 table. Slots count the rows of a shard block by block, so no task sees a whole shard.
 
+``round_trip`` does the whole job on files: it writes the old shards, plans from them, rewrites the
+affected shards, and reads every shard back. The rows travel once, grouped by new shard and part of it.
+
 Defined results: a null text has no bytes; rows may repeat, and equal rows stay in one block; a null
 key is hashed like any other; a table without rows gives none.
 """
@@ -18,7 +21,10 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from murmurio.session import scratch_path
+
 BLOCKS = 1024
+PARTS = 64      # files of a new shard
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]) -> dict[tuple[int, int], int]:
@@ -95,16 +101,16 @@ def block_of(*columns: Column, blocks: int = BLOCKS) -> Column:
     return F.pmod(F.xxhash64(F.lit(7), *columns), F.lit(blocks)).cast("int")
 
 
-def reshard(df: DataFrame, old_shard: Column, n_new: int, *, key: str = "doc_id", text: str = "text",
-            blocks: int = BLOCKS) -> DataFrame:
-    """Rows (key, size, text_crc32, old_shard, shard, slot); old shard i stays at home in new shard i.
-
-    ``old_shard`` is a small whole number from 0. Shard sizes differ by about a block's.
-    """
+def _measured(df: DataFrame, old_shard: Column, key: str, text: str, blocks: int) -> DataFrame:
+    """``df`` with size, text_crc32, old_shard and block."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = df.select(F.col(key).alias("_key"), (F.octet_length(body) + 1).cast("long").alias("size"),
-                     F.crc32(body).alias("text_crc32"), old_shard.cast("int").alias("old_shard"))
-    rows = rows.withColumn("block", block_of(F.col("_key"), F.col("text_crc32"), blocks=blocks))
+    return (df.withColumns({"size": (F.octet_length(body) + 1).cast("long"), "text_crc32": F.crc32(body),
+                            "old_shard": old_shard.cast("int")})
+            .withColumn("block", block_of(F.col(key), F.col("text_crc32"), blocks=blocks)))
+
+
+def _plan(rows: DataFrame, n_new: int) -> list[tuple[int, int, int, int]]:
+    """(old shard, block, new shard, first slot) of each block."""
     measured = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
     total = sum(r["b"] for r in measured)
     capacity = [total // n_new + (j < total % n_new) for j in range(n_new)]
@@ -115,12 +121,64 @@ def reshard(df: DataFrame, old_shard: Column, n_new: int, *, key: str = "doc_id"
         shard = to[r["old_shard"], r["block"]]
         place.append((r["old_shard"], r["block"], shard, filled[shard]))
         filled[shard] += r["n"]
-    table = df.sparkSession.createDataFrame(place, "old_shard int, block int, shard int, first long")
+    return place
+
+
+def _placed(rows: DataFrame, place: list[tuple[int, int, int, int]], key: str) -> DataFrame:
+    """``rows`` with shard and slot, grouped by shard and part of it."""
+    table = rows.sparkSession.createDataFrame(place, "old_shard int, block int, shard int, first long")
     # the block table has at most (old shards) * blocks rows
-    rank = F.row_number().over(Window.partitionBy("old_shard", "block").orderBy("_key", "text_crc32", "size"))
-    return (rows.withColumn("rank", rank).join(F.broadcast(table), ["old_shard", "block"])
-            .select(F.col("_key").alias(key), "size", "text_crc32", "old_shard", "block", "shard",
-                    (F.col("first") + F.col("rank") - 1).alias("slot")))
+    rows = (rows.join(F.broadcast(table), ["old_shard", "block"])
+            .withColumn("_part", F.pmod("block", F.lit(PARTS))).repartition("shard", "_part"))
+    rank = F.row_number().over(Window.partitionBy("shard", "_part", "old_shard", "block")
+                               .orderBy(key, "text_crc32", "size"))
+    return rows.withColumn("slot", F.col("first") + rank - 1).drop("first", "_part")
+
+
+def reshard(df: DataFrame, old_shard: Column, n_new: int, *, key: str = "doc_id", text: str = "text",
+            blocks: int = BLOCKS) -> DataFrame:
+    """Rows (key, size, text_crc32, old_shard, shard, slot); old shard i stays at home in new shard i.
+
+    ``old_shard`` is a small whole number from 0. Shard sizes differ by about a block's.
+    """
+    rows = _measured(df, old_shard, key, text, blocks).select(key, "size", "text_crc32", "old_shard", "block")
+    return _placed(rows, _plan(rows, n_new), key).select(
+        key, "size", "text_crc32", "old_shard", "block", "shard", "slot")
+
+
+def round_trip(df: DataFrame, old_shard: Column, n_new: int, *, key: str = "doc_id", text: str = "text",
+               blocks: int = BLOCKS) -> DataFrame:
+    """Rows (key, size, text_crc32, old_shard, shard, slot) as they stand in the files after resharding.
+
+    A shard that neither gives nor takes a row keeps its old files; a slot there is the row's rank.
+    """
+    spark = df.sparkSession
+    old_path, new_path = scratch_path(spark, "old-shards"), scratch_path(spark, "new-shards")
+    old = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), old_shard.cast("int").alias("old_shard"))
+    old.write.partitionBy("old_shard").option("compression", "zstd").parquet(old_path)
+    kept = spark.read.schema(old.schema).parquet(old_path)
+    rows = _measured(kept, F.col("old_shard"), "_key", "_text", blocks)
+    place = _plan(rows.select("size", "old_shard", "block"), n_new)
+    affected = sorted({s for o, _, n, _ in place if o != n for s in (o, n)})
+    moving = [p for p in place if p[2] in affected]
+    staying = [p for p in place if p[2] not in affected]
+    # the old shard goes into the files, so that they alone say where a row came from
+    new = _placed(rows, moving, "_key").select("_key", "_text", F.col("old_shard").alias("origin"), "shard", "slot")
+    write_shards(new, new_path)
+    back = (spark.read.schema(new.schema).parquet(new_path).withColumnRenamed("origin", "old_shard")
+            .withColumns({"shard": F.col("shard").cast("int"), "slot": F.col("slot").cast("long")}))
+    if staying:
+        same = _placed(rows.where(~F.col("old_shard").isin(affected)), staying, "_key")
+        back = back.unionByName(same.select("_key", "_text", "old_shard", "shard", "slot"))
+    return _measured(back, F.col("old_shard"), "_key", "_text", blocks).select(
+        F.col("_key").alias(key), "size", "text_crc32", "old_shard", "block", "shard", "slot")
+
+
+def write_shards(rows: DataFrame, path: str) -> str:
+    """Write rows that are grouped by shard below ``path``, as shard=N folders."""
+    (rows.sortWithinPartitions("shard", "slot").write.partitionBy("shard")
+     .option("compression", "zstd").parquet(path))
+    return path
 
 
 def rewrite(df: DataFrame, placed: DataFrame, path: str, *, key: str = "doc_id", text: str = "text",
@@ -141,6 +199,4 @@ def rewrite(df: DataFrame, placed: DataFrame, path: str, *, key: str = "doc_id",
     if affected_only:
         moved = placed.where("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("shard"))
         out = out.join(F.broadcast(moved.distinct()), "shard", "left_semi")  # one row per shard
-    (out.drop("old_shard").repartition("shard", F.pmod("slot", F.lit(16))).sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
-    return path
+    return write_shards(out.drop("old_shard").repartition("shard", F.pmod("slot", F.lit(16))), path)

@@ -278,6 +278,43 @@ def test_resharding(spark, docs):
     assert resharding.reshard(empty(spark, docs), F.lit(0), 4).count() == 0
 
 
+@pytest.mark.parametrize("n_old", [3, 4])
+def test_resharded_files(spark, docs, n_old, monkeypatch):
+    """Slots, sizes and checksums come from the shard files; only affected shards are written anew."""
+    import os
+
+    paths = {}
+    monkeypatch.setattr(resharding, "scratch_path", lambda s, label: paths.setdefault(label, tokenfiles.scratch_path(s, label)))
+    text = lambda i: f"text {i // 4:03}"
+    rows = [(i, text(i), i % 4) for i in range(400)]
+    if n_old == 3:  # shards 0 and 1 have their capacity and stay, shard 2 gives half of its rows to 3
+        rows = [(i, t, 2 if s == 3 else s) for i, t, s in rows]
+    many = spark.createDataFrame(rows, "doc_id long, text string, old int")
+    plan = resharding.reshard(many, F.col("old"), 4).collect()
+    got = resharding.round_trip(many, F.col("old"), 4).collect()
+    assert len(got) == 400 and {tuple(r) for r in got} == {tuple(r) for r in plan}
+    local = lambda label: paths[label].removeprefix("file:")
+    parts = lambda label: {x for x in os.listdir(local(label)) if "=" in x}
+    assert parts("old-shards") == {f"old_shard={i}" for i in range(n_old)}
+    assert parts("new-shards") == ({"shard=2", "shard=3"} if n_old == 3 else set())
+    paths.clear()
+    few = resharding.round_trip(docs.fillna({"label": 0}), F.col("label") % 3, 4).collect()
+    assert sorted((tuple(r) for r in few), key=repr) == sorted(
+        (tuple(r) for r in resharding.reshard(docs.fillna({"label": 0}), F.col("label") % 3, 4).collect()), key=repr)
+
+
+def test_resharding_query_writes_shards(spark, monkeypatch):
+    from murmurio.llm.queries import QUERIES
+
+    written = []
+    write = resharding.write_shards
+    monkeypatch.setattr(resharding, "write_shards", lambda rows, path: written.append(path) or write(rows, path))
+    got = QUERIES["op7_flow_resharding"](spark, "/root/testdata/sf0.001")
+    back = spark.read.parquet(written[0])
+    assert got.count() == back.count() > 0
+    assert resharding.round_trip(spark.createDataFrame([], DOCS), F.lit(0), 4).count() == 0
+
+
 def test_quality_base(spark, docs):
     got = quality.line_quality(docs).collect()
     want = []
