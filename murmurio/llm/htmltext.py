@@ -5,11 +5,15 @@ text length, the punctuation and the text inside links are added up and divided
 nodes. Articles have paths of long, punctuated, link-free text; menus have many short linked nodes.
 The path's weight, ``log1p(length ratio) * log1p(punctuation ratio) * (1 - link share)``, is given to
 its nodes, smoothed along the page with a Gaussian, and fused with the raw weight. Paths whose fused
-weight reaches a share of the page's largest are content; the element that holds most of their text
-is the article, and its other blocks (headings, short paragraphs) belong to it.
+weight reaches a share of the page's largest are content; the element that holds most of their text,
+or the outermost article (else main) element around it, is the article, and its other blocks
+(headings, short paragraphs, references) belong to it. Without such an element on a flat page, where
+that is the body, blocks of links are left out.
 
 Nodes inside elements that say by tag, role or class that they are no article (menus, footers,
-adverts, forms, comments ...) take part in nothing.
+adverts, forms, comments ...) take part in nothing. Classes and ids of html, body, main and article
+say nothing, nor does the role, class or id of an element, or a form, that holds most of the page's
+text, unless an article or main element beside it has text (a short article with many comments).
 
 Defined results: a null or empty page, or one without content, has an empty text; character
 references are decoded, also those without a semicolon that HTML allows; an open tag at the end of a
@@ -33,6 +37,8 @@ from .batches import extend, schema_with, small_batches
 CONTENT = 0.3       # share of the largest fused weight
 COVER = 0.8         # share of the content text that the article element holds
 SIGMA = 1.0         # of the smoothing, in nodes
+MOST = 0.5          # share of the page's text from which on an element is not left out for its name
+BESIDE = 0.1        # of that element's text: what articles beside it must hold to speak against this
 
 # fixed values: element names of HTML
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track",
@@ -45,9 +51,10 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 LISTS = {"ul", "ol", "menu", "dl", "table", "select"}
+ROOTS = {"html", "body", "main", "article"}
 CONTAINERS = {"article", "main", "body", "div", "section", "td", "html", "#"}
 # words of tags, roles, classes and ids that mark what is no article
-AWAY_TAGS = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "svg", "math", "object", "audio",
+AWAY_TAGS = {"nav", "footer", "aside", "button", "select", "dialog", "menu", "svg", "math", "object", "audio",
              "video", "canvas", "head"}
 AWAY_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar",
               "toolbar", "form"}
@@ -68,20 +75,22 @@ _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？؟¿¡]")
 
 
-def _away(tag: str, attributes: str, inside_article: bool) -> bool:
+def _away(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is no article at any rate, and whether its names say so."""
     if tag in AWAY_TAGS or (tag == "header" and not inside_article):
-        return True
+        return True, False
+    named = tag == "form"
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next(filter(None, values), "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value in AWAY_ROLES:
-            return True
+            return True, False
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id") and AWAY_WORDS.intersection(_SPLIT.split(value)):
-            return True
-    return False
+            return True, False
+        if name == "role" and value in AWAY_ROLES:
+            named = True
+        if name in ("class", "id") and tag not in ROOTS and AWAY_WORDS.intersection(_SPLIT.split(value)):
+            named = True
+    return False, named
 
 
 class _Block:
@@ -93,10 +102,33 @@ class _Block:
         self.parts, self.path, self.chain, self.linked = [], "", (), 0
 
 
+class _Named:
+    """What elements whose names say that they are no article hold, and articles outside them."""
+
+    def __init__(self):
+        self.total, self.around = 0, {}  # text of the page; numbers of the elements around each of them
+        self.held: dict[int, int] = defaultdict(int)
+        self.articles: dict[int, int] = defaultdict(int)
+
+    def kept(self) -> frozenset[int]:
+        """Those that hold most of the page, with no article beside them."""
+        return frozenset(
+            e for e, n in self.held.items() if n > MOST * self.total and BESIDE * n > max(
+                (m for a, m in self.articles.items() if a not in self.around[e]), default=0))
+
+
 def blocks(html: str) -> list[_Block]:
     """Blocks of a page in order, without those in elements that are no article."""
+    out, named = _blocks(html, frozenset())
+    kept = named.kept()
+    return _blocks(html, kept)[0] if kept else out
+
+
+def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
     out: list[_Block] = []
-    stack: list[tuple[str, int, bool]] = [("#", 0, False)]  # tag, number of the element, no article
+    # tag, number of the element, no article at any rate, elements around whose names say so
+    stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("#", 0, False, ())]
+    named = _Named()
     block = _Block()
     number = at = 0
 
@@ -107,7 +139,7 @@ def blocks(html: str) -> list[_Block]:
             block = _Block()
 
     def pop(to: int) -> None:
-        for tag, _, _ in stack[to:]:
+        for tag, *_ in stack[to:]:
             if tag in BLOCK:
                 flush()
                 break
@@ -121,14 +153,24 @@ def blocks(html: str) -> list[_Block]:
             if text[0] == "<" and len(text) > 1 or stack[-1][2]:
                 continue
             text = unescape(text)
+            length = len(text.strip())
+            named.total += length
+            if stack[-1][3]:
+                for e in stack[-1][3]:
+                    named.held[e] += length
+                continue
+            if length and not kept:
+                for t, n, *_ in stack:
+                    if t in ("article", "main"):
+                        named.articles[n] += length
             if not block.parts and not text.strip():
                 continue
             block.parts.append(text)
             if not block.path and text.strip():
-                block.path = "/".join(t for t, _, _ in stack)
-                block.chain = tuple(n for _, n, _ in stack)
-            if any(t == "a" for t, _, _ in stack):
-                block.linked += len(text.strip())
+                block.path = "/".join(t for t, *_ in stack)
+                block.chain = tuple(n for _, n, *_ in stack)
+            if any(t == "a" for t, *_ in stack):
+                block.linked += length
             continue
         if match.end() == len(html) and match.group()[-1] != ">":
             break  # a tag that the end of the page cut off
@@ -167,10 +209,15 @@ def blocks(html: str) -> list[_Block]:
             continue
         if attributes and attributes.endswith("/") and tag in ("path", "circle", "rect", "use"):
             continue
-        inside = any(t in ("article", "main") for t, _, _ in stack)
-        stack.append((tag, number, stack[-1][2] or _away(tag, attributes, inside)))
+        inside = any(t in ("article", "main") for t, *_ in stack)
+        away, by_name = _away(tag, attributes, inside)
+        if by_name and number not in kept:
+            named.around[number] = {n for _, n, *_ in stack}
+            stack.append((tag, number, stack[-1][2] or away, (*stack[-1][3], number)))
+        else:
+            stack.append((tag, number, stack[-1][2] or away, stack[-1][3]))
     flush()
-    return [b for b in out if b.path]
+    return [b for b in out if b.path], named
 
 
 def path_weights(paths: list[str], lengths: np.ndarray, marks: np.ndarray, linked: np.ndarray) -> np.ndarray:
@@ -220,10 +267,11 @@ def extract(html: str | None) -> str:
         tags, i = block.path.split("/"), block.chain.index(article)
         while i and tags[i] not in CONTAINERS:
             i -= 1
-        article = block.chain[i]
+        i = next((tags.index(t) for t in ("article", "main") if t in tags[:i + 1]), i)
+        article, flat = block.chain[i], tags[i] in ("#", "html", "body")
     links = linked / np.maximum(lengths, 1)
     return "\n\n".join(t for t, b, chosen, link in zip(texts, found, content, links)
-                       if t and (chosen or (article in b.chain and link < 0.7)))
+                       if t and (chosen or (article in b.chain and (link < 0.7 or not flat))))
 
 
 def extract_text(df: DataFrame, *, html: str = "html") -> DataFrame:

@@ -463,6 +463,30 @@ def test_html(spark):
     assert htmltext.extract_text(spark.createDataFrame([], pages.schema)).count() == 0
 
 
+BODY = "".join(f"<p>Paragraph {i} of the text, as long as others are, with marks; really.</p>" for i in range(6))
+PARAGRAPHS = "\n\n".join(f"Paragraph {i} of the text, as long as others are, with marks; really." for i in range(6))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body class='has-sidebar'><nav><a href=a>Home</a></nav>{BODY}</body>",
+    f"<main class='no-footer'>{BODY}</main>",
+    f"<article class='post comments-open'>{BODY}</article><div class=comments><p>No, I think. Yes.</p></div>",
+    f"<body><form action=x><div class=ad>Buy, now.</div><div>{BODY}</div></form></body>",
+    f"<div id='page-with-sidebar'><div class='sidebar'>Older, and more.</div><div>{BODY}</div></div>"])
+def test_html_names_do_not_drop_the_page(page):
+    assert htmltext.extract(page) == PARAGRAPHS
+
+
+def test_html_article_is_whole():
+    linked = "<ul><li><a href=a>A reference with a long title</a></li></ul>"
+    page = f"<body><div><a href=z>Elsewhere</a></div><article><h1>The heading</h1><div>{BODY}</div>{linked}</article></body>"
+    assert htmltext.extract(page) == f"The heading\n\n{PARAGRAPHS}\n\nA reference with a long title"
+    # comments stay out when they are longer than the article
+    many = f"<main><article><h1>The heading</h1>{BODY}</article><div id=comments>{BODY * 5}</div></main>"
+    assert htmltext.extract(many) == f"The heading\n\n{PARAGRAPHS}"
+    assert htmltext.extract(f"<body><div><a href=a>Home</a></div>{BODY}</body>") == PARAGRAPHS
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
