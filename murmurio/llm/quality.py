@@ -2,7 +2,8 @@
 
 Lines are normalised (lower case, runs of white space as one space, trimmed) and hashed. For every
 host the documents that hold a line are counted; equal texts on one host are one document, so a
-group of copies is no boilerplate of itself. Lines above the limit are removed, and a document of
+group of copies is no boilerplate of itself. Lines that reach the limit, one number for hosts of any
+size, are removed, and a document of
 which too little remains is rejected, as is one that fails the base rules.
 
 Defined results: a null text has no words and fails the base rules; lines without a word are
@@ -19,8 +20,7 @@ from pyspark.sql import functions as F
 from murmurio.session import materialize
 
 BLANK = "[\\x20\\x09-\\x0D]+"
-MIN_DOCUMENTS = 10      # a line in fewer documents of a host is never removed
-HOST_SHARE = 0.001      # nor one in a smaller share of the host's documents
+MIN_DOCUMENTS = 10      # a line in so many documents of a host is removed, however large the host is
 MIN_LEFT = 0.3          # share of the words that must remain
 MIN_WORDS = 50          # base rule
 MAX_REPEATED = 50       # base rule: per cent of words in repeated windows
@@ -86,22 +86,16 @@ def _lines(text: Column) -> Column:
                     lambda x: x["h"].isNotNull())
 
 
-def frequent_lines(measured: DataFrame, min_documents: int, host_share: float) -> DataFrame:
-    """(host, h) of the lines above the limit, with their number of documents."""
+def frequent_lines(measured: DataFrame, min_documents: int) -> DataFrame:
+    """(host, h) of the lines that reach the limit, with their number of documents."""
     each = measured.select("host", "digest", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
     # two steps: the rows of a line that a whole host shares are spread by text before they meet
     counts = each.distinct().groupBy("host", "h").count()
-    counts = counts.where(F.col("count") >= min_documents)
-    hosts = (measured.select("host", "digest").distinct().groupBy("host")
-             .agg(F.count("*").alias("documents")))
-    return (counts.join(hosts, counts["host"].eqNullSafe(hosts["host"]))
-            .where(F.col("count") > F.col("documents") * host_share)
-            .select(counts["host"], "h", F.col("count").alias("documents")))
+    return counts.where(F.col("count") >= min_documents).withColumnRenamed("count", "documents")
 
 
 def line_quality(df: DataFrame, *, key: str = "doc_id", text: str = "text", host: str = "source",
-                 min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE,
-                 min_left: float = MIN_LEFT, min_words: int = MIN_WORDS,
+                 min_documents: int = MIN_DOCUMENTS, min_left: float = MIN_LEFT, min_words: int = MIN_WORDS,
                  max_repeated: int = MAX_REPEATED) -> DataFrame:
     """Per row of ``df``: key, digest of the text, host, base counts, ``removed`` (hashes of the
     lines to remove), ``words_left`` and ``kept``."""
@@ -110,7 +104,7 @@ def line_quality(df: DataFrame, *, key: str = "doc_id", text: str = "text", host
         F.col(key).alias("key"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"),
         F.col(host).alias("host"), stats.alias("s"), _lines(F.col(text)).alias("lines"))
     measured = materialize(measured, "lines")
-    frequent = frequent_lines(measured, min_documents, host_share).select(
+    frequent = frequent_lines(measured, min_documents).select(
         F.col("host").alias("fhost"), F.col("h").alias("fh"))
     each = measured.select("key", "digest", "host",
                            F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))

@@ -352,6 +352,17 @@ def test_quality_lines(spark):
     assert left[200].text == rows[-2][1] and len(left) == 44
 
 
+def test_quality_lines_of_a_large_host(spark):
+    """The limit is the same number of texts on a host of 12,000 texts as on one of 12."""
+    docs = spark.range(12_000).selectExpr(
+        "id doc_id", "concat('own line ', id, case when id % 1000 = 0 then '\n shared by twelve' "
+        "when id % 1500 = 1 then '\n shared by eight' else '' end) text", "'en' lang", "'h' source", "1L n_chars")
+    small = docs.where("doc_id % 1000 = 0").withColumn("source", F.lit("g"))
+    got = quality.line_quality(docs.unionAll(small), min_words=1)
+    cut = got.where("size(removed) > 0").groupBy("source").agg(F.count("*"), F.max("words_left")).collect()
+    assert sorted(map(tuple, cut)) == [("g", 12, 3), ("h", 12, 3)]
+
+
 def test_toxicity(spark):
     bad = ["vexil", "grumbo", "snark"]
     rows, marks = [], []
