@@ -162,10 +162,10 @@ def train(toxic: list[str], ordinary: list[str], weight: float = 1.0) -> Classif
     known = _compressor(toxic_dict)
     missed = [i for i in np.flatnonzero(telling) if len(known.compress(code(names[i]))) >= 16]
     missed.sort(key=lambda i: (n_bad[i], names[i]), reverse=True)  # what the trainer left out
-    toxic_dict += codes(np.array(missed, np.int64))[:max(0, TOXIC_BYTES - len(toxic_dict))]
+    toxic_dict += b"".join(code(names[i]) for i in missed[:max(0, TOXIC_BYTES - len(toxic_dict)) // 16])
     samples, size = [], 0
-    for s in good:
-        samples.append(codes(s[~telling[s]]))
+    for i in sorted(range(len(good)), key=lambda i: code(ordinary[i])):  # a draw, whatever the order of the texts
+        samples.append(codes(good[i][~telling[good[i]]]))
         size += len(samples[-1])
         if size > TRAIN_BYTES:
             break

@@ -410,6 +410,21 @@ def test_toxicity_by_occurrences(spark):
         assert sum(found) >= 0.9 * len(found) > 0 and sum(wrong) <= 0.02 * len(wrong)
 
 
+def test_toxicity_draws_what_it_trains_on(monkeypatch):
+    """The ordinary texts are a draw and no prefix; a full toxic dictionary holds the strongest windows."""
+    seen = []
+    monkeypatch.setattr(toxicity, "_train", lambda samples, size: seen.append(samples) or b"\0" * 16)
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 16 * 400)
+    monkeypatch.setattr(toxicity, "TOXIC_BYTES", 16 + 16 * 3)
+    ordinary = sorted(f"{'az'[i % 2]}q{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600))
+    toxic = [("grumbo " if i % 3 == 0 else "") + "vexil" for i in range(30)]
+    model = toxicity.train(toxic, ordinary)
+    drawn = {x[i:i + 16] for x in seen[1] for i in range(0, len(x), 16)}
+    of = lambda letter: sum(toxicity.code(w) in drawn for t in ordinary if t[0] == letter for w in toxicity.windows(t) if w[0] == "^")
+    assert of("a") > 50 and of("z") > 50
+    assert all(toxicity.code(w) in model.toxic for w in toxicity.windows("vexil"))
+
+
 def test_class_model(spark, docs):
     got = classlm.score_texts(docs, rounds=2).collect()
     rows = [(r.doc_id, r.text) for r in docs.collect()]
