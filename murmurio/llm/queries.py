@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from murmurio.session import configure
 
-from . import classlm, decontamination, htmltext, neardup, quality, resharding, tokenfiles, toxicity, warc, wordbpe
+from . import (classlm, decontamination, htmltext, neardup, piecebpe, quality, resharding, tokenfiles, toxicity, warc,
+               wordbpe)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -98,3 +99,8 @@ def flow_resharding(table):
     placed = resharding.round_trip(table("documents"), old, 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+@query("op13_piece_bpe")
+def piece_bpe(table):
+    return piecebpe.digests(table("documents").select("doc_id", "text"))
