@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from murmurio.session import configure
 
-from . import (classlm, decontamination, htmltext, neardup, piecebpe, quality, resharding, tokenfiles, toxicity, warc,
-               wordbpe)
+from . import (classlm, decontamination, htmltext, merkle, neardup, piecebpe, quality, resharding, tokenfiles, toxicity,
+               warc, wordbpe)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,3 +104,62 @@ def flow_resharding(table):
 @query("op13_piece_bpe")
 def piece_bpe(table):
     return piecebpe.digests(table("documents").select("doc_id", "text"))
+
+
+@query("op12_merkle_manifest", """
+    WITH RECURSIVE parity(doc_id, s, i, c) AS (  -- CRC-32 of the decimal form, bit by bit
+        SELECT doc_id, CAST(doc_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT)
+        FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+        UNION ALL
+        SELECT doc_id, s, i + 1, xor(x >> 1, (x & 1) * CAST(3988292384 AS BIGINT))
+        FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(s, i // 8 + 1, 1)) AS BIGINT)) ELSE c END AS x
+              FROM parity WHERE i < 8 * length(s))),
+    even AS (SELECT doc_id FROM parity WHERE i = 8 * length(s) AND c & 1 = 1),  -- the last step inverts the bits
+    texts AS (SELECT *, CASE WHEN doc_id IN (SELECT doc_id FROM even) THEN replace(text, chr(10), '') ELSE text END AS bent
+              FROM documents),
+    leaves AS (
+        SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS tree,
+               sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               sha256(head || coalesce(strlen(bent) || ':' || bent, '-')) AS folded
+        FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                     || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                     || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM texts)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+    up(tree, lvl, pos, h, n) AS (
+        SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM placed
+        UNION ALL
+        SELECT tree, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3
+        FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 3),
+    subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos FROM up WHERE n = 1),
+    top(lvl, pos, h, n) AS (
+        SELECT 0, pos, h, count(*) OVER () FROM subroots
+        UNION ALL
+        SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3
+        FROM top WHERE n > 1 GROUP BY lvl, pos // 3),
+    near AS (SELECT tree, lvl, pos, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+             FROM up WHERE n > 1 WINDOW w AS (PARTITION BY tree, lvl, pos // 3 ORDER BY pos)),
+    far AS (SELECT lvl, pos, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM top WHERE n > 1 WINDOW w AS (PARTITION BY lvl, pos // 3 ORDER BY pos)),
+    steps AS (
+        SELECT p.tree, p.pos, s.lvl, s.l, s.r FROM placed p JOIN near s
+        ON s.tree = p.tree AND s.pos = p.pos // CAST(pow(3, s.lvl) AS BIGINT)
+        UNION ALL
+        SELECT p.tree, p.pos, 1000 + s.lvl, s.l, s.r FROM placed p JOIN subroots t ON t.tree = p.tree
+        JOIN far s ON s.pos = t.pos // CAST(pow(3, s.lvl) AS BIGINT)),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY tree, pos ORDER BY lvl) - 1 AS k FROM steps),
+    proofs AS (SELECT tree, pos, count(*) AS k, sha256(string_agg(l || r, '' ORDER BY k)) AS proof FROM numbered GROUP BY tree, pos),
+    fold(tree, pos, k, h) AS (
+        SELECT tree, pos, 0, folded FROM placed
+        UNION ALL
+        SELECT f.tree, f.pos, f.k + 1, sha256(s.l || f.h || s.r) FROM fold f
+        JOIN numbered s ON s.tree = f.tree AND s.pos = f.pos AND s.k = f.k)
+    SELECT p.doc_id, p.leaf, t.h AS subroot, z.h AS root, coalesce(q.proof, sha256('')) AS proof_sha256,
+           f.h AS folded_root, f.h = z.h AS verified
+    FROM placed p JOIN subroots t ON t.tree = p.tree CROSS JOIN (SELECT h FROM top WHERE n = 1) z
+    LEFT JOIN proofs q ON q.tree = p.tree AND q.pos = p.pos
+    JOIN fold f ON f.tree = p.tree AND f.pos = p.pos AND f.k = coalesce(q.k, 0)""")
+def merkle_manifest(table):
+    return merkle.manifest(table("documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+                           tampered={"text": merkle.without_newlines()})
