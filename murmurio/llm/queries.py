@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from murmurio.session import configure
 
-from . import (classlm, decontamination, htmltext, merkle, neardup, piecebpe, quality, resharding, tokenfiles, toxicity,
-               warc, wordbpe)
+from . import (classlm, decontamination, htmltext, lexical, merkle, neardup, piecebpe, quality, resharding, tokenfiles,
+               toxicity, warc, wordbpe)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -163,3 +163,27 @@ def piece_bpe(table):
 def merkle_manifest(table):
     return merkle.manifest(table("documents"), ["doc_id", "source", "lang", "n_chars", "text"],
                            tampered={"text": merkle.without_newlines()})
+
+
+@query("op11_ranked_search", r"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+    b AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+    size AS (SELECT count(*) AS nn, sum(len(terms))::BIGINT AS ll FROM d WHERE len(terms) > 0),
+    q AS (SELECT item, item_id, term, count(*) AS times
+          FROM (SELECT item, item_id, unnest(terms) AS term FROM b) GROUP BY ALL),
+    p AS (SELECT row, doc_id, n, term, count(*) AS tf
+          FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+          FROM p, size GROUP BY term),
+    s AS (SELECT item, item_id, row, doc_id,
+                 sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score
+          FROM q JOIN w USING (term) JOIN p USING (term), size GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank
+          FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""")
+def ranked_search(table):
+    return lexical.rank_documents(table("documents"), table("benchmark"))

@@ -37,10 +37,10 @@ def test_ids_and_texts_equal_the_library(frame, library):
 
 def test_digests(frame, library):
     out = piecebpe.digests(frame)
-    assert out.columns == ["doc_id", "ids", "decoded", "lang", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"]
+    assert out.columns == ["doc_id", "ids", "decoded", "agrees", "lang", "n_tokens", "ids_sha256", "decoded_sha256"]
     for r in out.where("doc_id is not null").collect():
         ids = library.encode(TEXTS[r.doc_id] or "")
-        assert r.agrees and r.n_tokens == len(ids)
+        assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     assert piecebpe.digests(frame.limit(0)).count() == 0
@@ -68,3 +68,12 @@ def test_random_texts_with_small_caches(library, monkeypatch):
     for _ in range(3000):
         text = "".join(rnd.choice("  ▁aeionrst.,'-12éñ\n") for _ in range(rnd.randrange(60)))
         assert bpe.encode(text) == library.encode(text), text
+
+
+def test_ids_unlike_the_library_are_an_error():
+    bpe = piecebpe.PieceBpe(piecebpe.vocabulary_path("piece_bpe_32k.model"))
+    bpe.encode_batch(["some  text", "the words of it", "", None])
+    bpe.entry.clear()
+    for text in ("other words", "two  spaces"):
+        with pytest.raises(ValueError, match="differ"):
+            bpe.encode_batch([text])
