@@ -40,6 +40,21 @@ _CUT = re.compile(r" (?=\S)")
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")
 
 
+class Known(dict):
+    """Ids of pieces by a function, asked for once; emptied when full."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.function(key)
+        if len(self) >= CACHE:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of texts by a byte-level file of the ``tokenizers`` library."""
 
@@ -52,45 +67,35 @@ class Encoder:
         self.special = {t.content: i for i, t in special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if special else None
         self.bytes = str.maketrans({i: c for i, c in enumerate(byte_characters())})
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        # a piece after a space, and other words; pieces of one word are in the first alone
+        self.spaced, self.words = Known(lambda piece: self._piece(" " + piece)), Known(self._word)
 
     def _word(self, mapped: str) -> bytes:
-        ids = self.words.get(mapped)
-        if ids is None:
-            ids = array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-            self.words[mapped] = ids
-        return ids
+        return array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece of text that starts and ends where words do."""
         bare = piece[1:] if piece[:1] == " " else piece
         if bare.isalpha():
-            words = [piece.encode().decode("latin-1").translate(self.bytes)]
-        elif piece.isascii() and piece.isprintable():
+            if piece.isascii():
+                return self._word(piece.replace(" ", "Ġ"))
+            return self._word(piece.encode().decode("latin-1").translate(self.bytes))
+        if piece.isascii() and piece.isprintable():
             words = [w.replace(" ", "Ġ") for w in _ASCII.findall(piece)]
         else:
             words = [w for w, _ in self.split(piece)]
-        return b"".join([self._word(w) for w in words])
+        # a word and the comma after it are two words, the first of which may be known
+        return b"".join([self.spaced[w[1:]] if w[0] == "Ġ" and w[1:].isascii() and w[1:].isalpha() else self.words[w]
+                         for w in words])
 
     def _plain(self, text: str, out: list[bytes]) -> None:
-        known = self.pieces
         first, *rest = _CUT.split(text)
         if first:
             out.append(self._piece(first))
-        try:
-            out += [known[p] for p in rest]
-        except KeyError:
-            for p in rest:
-                if p not in known:
-                    known[p] = self._piece(" " + p)
-            out += [known[p] for p in rest]
+        out += map(self.spaced.__getitem__, rest)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as 32-bit integers of this machine."""
-        for cache in (self.pieces, self.words):  # words recur in more pieces than pieces do in texts
-            if len(cache) > CACHE:
-                cache.clear()
         out: list[bytes] = []
         parts = self.cut.split(text or "") if self.cut and "<|" in (text or "") else [text or ""]
         for i, part in enumerate(parts):

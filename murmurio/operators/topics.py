@@ -7,6 +7,7 @@ topic and never described.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -133,11 +134,18 @@ def assign_by(df: DataFrame, vector: str, centers: DataFrame, by: Sequence[str],
 
 
 def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int = SEED,
-               cosine: bool = True) -> tuple[KMeansModel, DataFrame]:
-    """K-means over the vectors (unit length for cosine); returns the model and ``numero``."""
+               cosine: bool = True, n_init: int = 1) -> tuple[KMeansModel, DataFrame]:
+    """K-means over the vectors (unit length for cosine); returns the model and ``numero``.
+
+    Of ``n_init`` starts (seeds ``seed``, ``seed + 1``, ...) the one of the smallest cost is kept.
+    """
     points = V.normalized(vector) if cosine else F.col(vector).cast("array<double>")
     ready = df.withColumn("_v", array_to_vector(points))
-    model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="numero").fit(ready)
+    if n_init > 1:
+        ready = materialize(ready, "pontos")
+    models = [KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="numero").fit(ready)
+              for i in range(n_init)]
+    model = min(models, key=lambda m: m.summary.trainingCost)
     return model, model.transform(ready).drop("_v")
 
 
@@ -164,10 +172,17 @@ def vectorizer_tokens(text: str, vowels: bool = False) -> Column:
 
 
 def term_counts(docs: DataFrame, tokens: Column, topic: str = "numero",
-                stopwords: DataFrame | None = None) -> DataFrame:
+                stopwords: DataFrame | None = None, ngram_max: int = 1) -> DataFrame:
     """Occurrences of each word per topic; stop words (``palavra``) are never counted, so they are
-    part of no total."""
-    rows = docs.where(F.col(topic) != -1).select(topic, F.explode(tokens).alias("palavra"))
+    part of no total.
+
+    With ``ngram_max`` above 1 also of runs of up to so many words, joined by a space; stop words are
+    taken out of the texts first, so a run may span where they stood.
+    """
+    rows = docs.where(F.col(topic) != -1)
+    if ngram_max > 1:
+        return _ngram_counts(rows, tokens, topic, stopwords, ngram_max)
+    rows = rows.select(topic, F.explode(tokens).alias("palavra"))
     counts = rows.groupBy(topic, "palavra").agg(F.count("*").alias("n"))
     if stopwords is None:
         return counts
@@ -175,6 +190,102 @@ def term_counts(docs: DataFrame, tokens: Column, topic: str = "numero",
         topic, "palavra", "n")
 
 
+def _ngram_counts(rows: DataFrame, tokens: Column, topic: str, stopwords: DataFrame | None, most: int) -> DataFrame:
+    """Counts of runs of one to ``most`` words. Texts are numbered, so their ids need not be unique."""
+    if stopwords is None:
+        clean = rows.select(topic, tokens.alias("_t"))
+    else:
+        numbered = materialize(rows.select(topic, tokens.alias("_t"), F.monotonically_increasing_id().alias("_id")), "textos")
+        words = numbered.select(topic, "_id", F.posexplode("_t").alias("_pos", "palavra"))
+        left = words.join(stopwords.select("palavra").distinct(), "palavra", "left_anti")
+        # a text's words come together again, no more than the text held
+        clean = left.groupBy("_id", topic).agg(F.transform(
+            F.array_sort(F.collect_list(F.struct("_pos", "palavra"))), lambda x: x["palavra"]).alias("_t"))
+    runs = [F.transform(F.sequence(F.lit(1), F.greatest(F.size("_t") - n + 1, F.lit(1))),
+                        lambda i, n=n: F.array_join(F.slice("_t", i, n), " ")) for n in range(1, most + 1)]
+    # a text of fewer words has no run of that length
+    runs = [F.when(F.size("_t") >= n, r).otherwise(F.array().cast("array<string>")) for n, r in enumerate(runs, 1)]
+    return (clean.select(topic, F.explode(F.concat(*runs)).alias("palavra"))
+            .groupBy(topic, "palavra").agg(F.count("*").alias("n")))
+
+
+def similarity(weights: DataFrame, topic: str = "numero") -> DataFrame:
+    """(a, b, cosseno) with a < b: cosine of the topics' weights (``peso`` per ``palavra``); 0 if no word is shared.
+
+    Topics meet by word, summed in the map tasks; one row for each pair of topics.
+    """
+    w = materialize(weights.select(topic, "palavra", "peso"), "pesos")
+    other = w.select(F.col(topic).alias("b"), F.col("palavra").alias("_p"), F.col("peso").alias("_q"))
+    dots = w.withColumnRenamed(topic, "a").join(other, (F.col("palavra") == F.col("_p")) & (F.col("a") < F.col("b")))
+    dots = dots.groupBy("a", "b").agg(F.sum(F.col("peso") * F.col("_q")).alias("dot"))
+    norms = w.groupBy(topic).agg(F.sqrt(F.sum(F.col("peso") * F.col("peso"))).alias("norma"))
+    left, right = norms.toDF("a", "na"), norms.toDF("b", "nb")
+    pairs = left.join(right, F.col("a") < F.col("b"))  # topics, not documents
+    return pairs.join(dots, ["a", "b"], "left").select("a", "b", F.round(F.coalesce(
+        F.try_divide(F.col("dot"), F.col("na") * F.col("nb")), F.lit(0.0)), 9).alias("cosseno"))
+
+
+def merge_order(pairs: DataFrame) -> DataFrame:
+    """The merges of average linkage over (a, b, cosseno): (a, b, semelhanca, ordem), b joining a.
+
+    A group is named by its smallest topic. In every round all pairs that are each other's most similar
+    group merge; average linkage gives the same tree as one merge at a time. ``ordem`` ranks the merges
+    by falling similarity, those of earlier rounds first among equals.
+    """
+    pairs = materialize(pairs.select("a", "b", F.col("cosseno").alias("s"), F.lit(1).cast("long").alias("n")), "pares")
+    merges, round_ = [], 0
+    while pairs.take(1):
+        mean = F.round(F.col("s") / F.col("n"), 9)
+        both = pairs.select("a", "b", mean.alias("m"), F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
+            pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), mean.alias("m"), F.col("a").alias("x"), F.col("b").alias("y")))
+        best = both.groupBy("a").agg(F.min(F.struct((-F.col("m")).alias("d"), "x", "y")).alias("e"))
+        chosen = materialize(best.groupBy("e").agg(F.count("*").alias("c")).where("c = 2").select(
+            F.col("e.x").alias("a"), F.col("e.y").alias("b"), (-F.col("e.d")).alias("semelhanca"),
+            F.lit(round_).alias("rodada")), "fusoes")
+        merges.append(chosen)
+        gone = chosen.select(F.col("b").alias("_b"), F.col("a").alias("_a"))
+        for end in ("a", "b"):
+            pairs = pairs.join(gone, F.col(end) == F.col("_b"), "left").withColumn(
+                end, F.coalesce("_a", end)).drop("_a", "_b")
+        lower, upper = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        pairs = materialize(pairs.where("a <> b").groupBy(lower, upper).agg(
+            F.sum("s").alias("s"), F.sum("n").alias("n")), "pares")
+        round_ += 1
+    if not merges:
+        return pairs.select("a", "b", F.col("s").alias("semelhanca"), F.lit(0).alias("ordem"))
+    every = reduce(DataFrame.unionByName, merges)
+    rank = F.row_number().over(Window.orderBy(F.desc("semelhanca"), "rodada", "a", "b"))  # a row per topic
+    return every.select("a", "b", "semelhanca", rank.alias("ordem"))
+
+
+def reduce_topics(assigned: DataFrame, weights: DataFrame, nr_topics: int, topic: str = "numero") -> DataFrame:
+    """``assigned`` with at most ``nr_topics`` topics besides the outliers, numbered anew by falling size.
+
+    The most similar topics by their weighted words are merged first.
+    """
+    spark = assigned.sparkSession
+    sizes = assigned.where(F.col(topic) != -1).groupBy(topic).agg(F.count("*").alias("n"))
+    sizes = materialize(sizes, "tamanhos")
+    surplus = max(0, sizes.count() - nr_topics)
+    merges = merge_order(similarity(weights, topic)).where(F.col("ordem") <= surplus).orderBy("ordem").collect()
+    into = {}
+    for m in merges:  # fewer than topics
+        into[m.b] = m.a
+    for b in into:
+        while into[b] in into:
+            into[b] = into[into[b]]
+    kind = assigned.schema[topic].dataType.simpleString()
+    names = spark.createDataFrame(list(into.items()), f"_de {kind}, _para {kind}")
+    grouped = sizes.join(F.broadcast(names), F.col(topic) == F.col("_de"), "left").select(
+        topic, "n", F.coalesce("_para", topic).alias("_grupo"))
+    total = F.sum("n").over(Window.partitionBy("_grupo"))
+    numbered = grouped.withColumn("_n", total).withColumn("_novo", (F.dense_rank().over(
+        Window.orderBy(F.desc("_n"), "_grupo")) - 1).cast(kind))  # a row per topic
+    numbered = numbered.select(F.col(topic).alias("_t"), "_novo")
+    return assigned.join(numbered, F.col(topic) == F.col("_t"), "left").withColumn(
+        topic, F.coalesce("_novo", topic)).drop("_t", "_novo")
+
+
 def ctfidf(counts: DataFrame, topic: str = "numero") -> DataFrame:
     """Class-based tf-idf: share of the word in its topic x ln(1 + A / total of the word), where A
     is the mean number of words per topic, cut to a whole number."""
