@@ -52,7 +52,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     loss of an executor, and Spark knows the real size of what it reads back.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
