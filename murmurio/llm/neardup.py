@@ -15,8 +15,11 @@ Steps, each a Spark job on rows that are spread evenly:
    are clusters of candidates.
 3. A cluster is cut into blocks of at most ``BLOCK`` classes and ``BLOCK_SHINGLES`` shingles. Each
    block compares its members on full sets and emits a forest of links, never pairs.
-4. In clusters of several blocks, blocks of the parts found so far meet in pairs; two blocks of
-   the same part are never compared, as nothing can be learned from them. The links join the parts.
+4. In clusters of several blocks, one member of each part found so far is compared with those of
+   other parts in ``MEETINGS`` rounds of new blocks. Parts of a large group of linked texts become
+   one there, at the cost of a text for each part.
+5. Blocks of the parts that are still apart meet in pairs; two blocks of the same part are never
+   compared, as nothing can be learned from them. The links join the parts.
 
 Defined results: a text without words has an empty set and is linked with nothing; repeated rows
 are equal documents; a null key counts as no key, so a component's id is the smallest key that is
@@ -41,6 +44,7 @@ from .hashing import mix, shingle_sets
 
 BANDS, ROWS = 24, 5
 BLOCK, BLOCK_SHINGLES = 128, 1_000_000
+MEETINGS = 2  # rounds in which single members of parts meet before blocks do
 BUCKETS = 1 << 20  # of fingerprints, by which texts outside clusters are left out before a shuffle
 CELLS = 1 << 24  # of the membership matrix held at once
 _rng = np.random.default_rng(7)
@@ -146,7 +150,7 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
     found = clusters.join(classes.drop("_bands"), "node")
     sizes = found.groupBy("root").agg(F.ceil(F.greatest(
         F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("k"))
-    members = materialize(found.join(sizes, "root").select("_fp", "root", "k", "rep"), "members")
+    members = materialize(found.join(sizes, "root").select("_fp", "root", "k", "rep", "n_shingles"), "members")
     texts = signed.select(F.col("_fp"), F.col(key).alias("_key"), F.col(text).alias("_text"))
 
     bucket = F.pmod(F.xxhash64("_fp"), F.lit(BUCKETS)).cast("int")
@@ -167,14 +171,31 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
     several = first.where("k > 1")
     if not several.take(1):
         return done
-    parts = several.groupBy("root", "label").agg(F.count("*").alias("size"))
-    small = F.col("size") < BLOCK
-    packs = parts.where(small).groupBy("root").agg(F.ceil(F.sum("size") / BLOCK).alias("packs"))
+    edges = several.select(F.col("_fp").alias("a"), F.col("label").alias("b"))
+    for salt in range(MEETINGS):
+        heads = several.where(F.col("_fp") == F.col("label"))
+        count = heads.groupBy("root").agg(F.ceil(F.greatest(
+            F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("heads"))
+        heads = heads.join(count, "root").withColumn("unit", F.concat_ws(
+            ":", "root", F.pmod(F.xxhash64("_fp", F.lit(salt)), F.col("heads"))))
+        met = materialize(_compare(with_text(heads), shingle, percent).where("_fp <> label"), "meetings")
+        if not met.take(1):
+            break
+        edges = edges.unionAll(met.select(F.col("_fp").alias("a"), F.col("label").alias("b")))
+        # each met part takes the name of the smallest it is tied to; a part has one head, so names stay true
+        names = connected_components(met.select(F.col("_fp").alias("a"), F.col("label").alias("b")))
+        names = names.select(F.col("node").alias("_node"), F.col("root").alias("_part"))
+        several = materialize(several.join(names, F.col("label") == F.col("_node"), "left").withColumn(
+            "label", F.coalesce("_part", "label")).drop("_node", "_part"), "parts")
+    parts = several.groupBy("root", "label").agg(
+        F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES).alias("size"))
+    small = F.col("size") < 1
+    packs = parts.where(small).groupBy("root").agg(F.ceil(F.sum("size")).alias("packs"))
     parts = parts.join(packs, "root", "left")
     placed = several.join(parts, ["root", "label"]).withColumn("block", F.when(
         small, F.concat_ws(":", F.lit("mixed"), F.pmod(F.xxhash64("label"), F.col("packs"))))
         .otherwise(F.concat_ws(":", F.hex("label"), F.pmod(
-            F.xxhash64("_fp"), F.ceil(F.col("size") / BLOCK))))).withColumn(
+            F.xxhash64("_fp"), F.ceil(F.col("size")))))).withColumn(
         "owner", F.when(~small, F.col("label")))
     placed = materialize(placed.select("_fp", "root", "rep", "block", "owner"), "blocks")
     blocks = placed.groupBy("root", "block").agg(F.first("owner").alias("owner"))
@@ -185,8 +206,7 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
                          F.concat_ws(":", "root", "block", "block2").alias("unit"))
     pairs = pairs.select("root", "unit", F.explode("both").alias("block"))
     more = _compare(with_text(placed.join(pairs, ["root", "block"])), shingle, percent)
-    edges = several.select(F.col("_fp").alias("a"), F.col("label").alias("b")).unionAll(
-        more.select(F.col("_fp").alias("a"), F.col("label").alias("b")))
+    edges = edges.unionAll(more.select(F.col("_fp").alias("a"), F.col("label").alias("b")))
     joined = connected_components(edges).select(F.col("node").alias("_fp"), "root")
     return done.unionAll(joined)
 

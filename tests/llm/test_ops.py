@@ -527,3 +527,23 @@ def test_pipeline(spark):
         assert 0 < docs.count() <= n
     out = corpus_pipeline.run(spark, sf)
     assert out.count() == docs.count() and set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+
+
+def test_parts_of_a_large_group_meet_by_single_members_first(spark, monkeypatch):
+    """A few hundred near copies, linked in pairs, in blocks of eight: the second comparison of whole blocks is small."""
+    compared = []
+    plain = neardup._compare
+
+    def counted(units, shingle, percent):
+        compared.append(units.count())
+        return plain(units, shingle, percent)
+
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "_compare", counted)
+    rows = [(i, " ".join(f"n{j}" for j in range(200)) + f" own{i}") for i in range(160)]
+    rows += [(1000 + i, " ".join(f"n{j}" for j in range(100)) + "".join(f" far{i}x{j}" for j in range(60))) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = neardup.near_duplicates(df)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr)
+    assert got == brute_components(rows, 5, 80)
+    assert compared[0] >= 160 and sum(compared[1:]) < 3 * len(rows)
