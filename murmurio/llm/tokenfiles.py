@@ -37,7 +37,9 @@ CACHE = 600_000
 STRIPE_BYTES = 32 << 20
 INDEX_ROWS = 1000
 _CUT = re.compile(r" (?=\S)")
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_ASCII = re.compile(r"[\x00-\x7F]+")
+_SEPARATORS = re.compile(r"[\x1C-\x1F]")  # white space here, but not in the library
 
 
 class Known(dict):
@@ -73,15 +75,18 @@ class Encoder:
     def _word(self, mapped: str) -> bytes:
         return array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
+    def _mapped(self, word: str) -> str:
+        """A word as the vocabulary spells it, a character for each byte."""
+        return (word if word.isascii() else word.encode().decode("latin-1")).translate(self.bytes)
+
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece of text that starts and ends where words do."""
         bare = piece[1:] if piece[:1] == " " else piece
         if bare.isalpha():
-            if piece.isascii():
-                return self._word(piece.replace(" ", "Ġ"))
-            return self._word(piece.encode().decode("latin-1").translate(self.bytes))
-        if piece.isascii() and piece.isprintable():
-            words = [w.replace(" ", "Ġ") for w in _ASCII.findall(piece)]
+            return self._word(self._mapped(piece))
+        others = "" if piece.isascii() else _ASCII.sub("", piece)
+        if (not others or others.isalpha()) and not _SEPARATORS.search(piece):
+            words = [self._mapped(w) for w in _WORDS.findall(piece)]
         else:
             words = [w for w, _ in self.split(piece)]
         # a word and the comma after it are two words, the first of which may be known
