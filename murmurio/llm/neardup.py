@@ -153,14 +153,18 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
     members = materialize(found.join(sizes, "root").select("_fp", "root", "k", "rep", "n_shingles"), "members")
     texts = signed.select(F.col("_fp"), F.col(key).alias("_key"), F.col(text).alias("_text"))
 
-    bucket = F.pmod(F.xxhash64("_fp"), F.lit(BUCKETS)).cast("int")
-    wanted = members.select(bucket.alias("_bucket")).distinct()  # at most BUCKETS rows
-    texts = texts.withColumn("_bucket", bucket).join(F.broadcast(wanted), "_bucket", "left_semi")
+    def bucket(key_name: str):
+        return F.pmod(F.xxhash64("_fp", key_name), F.lit(BUCKETS)).cast("int").alias("_bucket")
 
     def with_text(rows: DataFrame) -> DataFrame:
-        """The text of one document of each class (all rows that repeat its key)."""
-        return rows.join(texts, (rows["_fp"] == texts["_fp"]) & rows["rep"].eqNullSafe(texts["_key"])
-                         ).drop(texts["_fp"])
+        """The text of one document of each class (all rows that repeat its key).
+
+        Before the shuffle other texts are left out by buckets of fingerprint and key, copies too.
+        """
+        wanted = rows.select(bucket("rep")).distinct()  # at most BUCKETS rows
+        some = texts.withColumn("_bucket", bucket("_key")).join(F.broadcast(wanted), "_bucket", "left_semi")
+        return rows.join(some, (rows["_fp"] == some["_fp"]) & rows["rep"].eqNullSafe(some["_key"])
+                         ).drop(some["_fp"])
 
     chunk = F.pmod(F.xxhash64("_fp"), F.col("k"))
     units = members.withColumn("unit", F.concat_ws(":", "root", chunk))
