@@ -201,10 +201,13 @@ def _ngram_counts(rows: DataFrame, tokens: Column, topic: str, stopwords: DataFr
         # a text's words come together again, no more than the text held
         clean = left.groupBy("_id", topic).agg(F.transform(
             F.array_sort(F.collect_list(F.struct("_pos", "palavra"))), lambda x: x["palavra"]).alias("_t"))
-    runs = [F.transform(F.sequence(F.lit(1), F.greatest(F.size("_t") - n + 1, F.lit(1))),
-                        lambda i, n=n: F.array_join(F.slice("_t", i, n), " ")) for n in range(1, most + 1)]
+    def runs_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size("_t") - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.array_join(F.slice("_t", i, n), " "))
+
     # a text of fewer words has no run of that length
-    runs = [F.when(F.size("_t") >= n, r).otherwise(F.array().cast("array<string>")) for n, r in enumerate(runs, 1)]
+    runs = [F.when(F.size("_t") >= n, runs_of(n)).otherwise(F.array().cast("array<string>"))
+            for n in range(1, most + 1)]
     return (clean.select(topic, F.explode(F.concat(*runs)).alias("palavra"))
             .groupBy(topic, "palavra").agg(F.count("*").alias("n")))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import vectors as V
 from ..functions.wordlists import GENERIC_NOISE
-from ..operators import dedup, incremental, models, resolve, topics, vocab
+from ..operators import dedup, density, incremental, models, neighbours, resolve, topics, vocab
 from ..operators.upsert import insert_ignore, surrogate_id, upsert_topics
 from ..schemas import TABLE_KEYS
 from ..session import materialize
@@ -16,7 +19,8 @@ from ..sources import artefacts, sinks
 # Parameters of a run.
 DEFAULTS = {"min_df": 3, "max_df": 1.0, "seed": 42, "n_exemplos": 20,
             "n_exemplos_representativos": 10, "normalizar_vogal_repetida": False,
-            "palavras": 10}
+            "palavras": 10, "ngram_max": 1, "algoritmo_clustering": "kmeans", "n_init": 10,
+            "min_topic_size": 10, "nr_topics": None, "n_vizinhos": 15}
 
 
 def stopwords_of(corpus: DataFrame, entity: str, min_df: int, max_df: float,
@@ -35,10 +39,12 @@ def stopwords_of(corpus: DataFrame, entity: str, min_df: int, max_df: float,
 
 def fit(corpus: DataFrame, vectors: DataFrame, out: str, entity: str, encoder_slug: str,
         k_values: list[int] | None = None, stems: DataFrame | None = None, **params) -> None:
-    """Fit one run per K below ``out``.
+    """Fit one run per K below ``out``, or a single one by density (``algoritmo_clustering='hdbscan'``).
 
     ``corpus`` comes from ``corpus.load``, ``vectors`` has (doc_id, embedding); ``stems`` is an
-    optional frame of (raiz, palavra) occurrences from the user's stemmer.
+    optional frame of (raiz, palavra) occurrences from the user's stemmer. ``nr_topics`` merges the
+    most similar topics until so many are left; ``min_topic_size`` is the smallest density cluster.
+    A run keeps the centres its documents were assigned by, in the space of unit vectors.
     """
     p = {**DEFAULTS, **params}
     spark = corpus.sparkSession
@@ -53,18 +59,33 @@ def fit(corpus: DataFrame, vectors: DataFrame, out: str, entity: str, encoder_sl
     groups = dedup.prefix_summary(dedup.prefix_groups(docs, "doc_id", "texto_original"), total)
     largest = dedup.largest_groups(docs, "doc_id", "texto_original")
     top = vocab.top_words(vocab.doc_freq(docs, X.tokens("texto_stemizado")), total)
-    for k in k_values or topics.K_VALUES:
-        at = f"{out}/k{k}/bertopic_kmeans/{encoder_slug}"
-        model, assigned = topics.fit_kmeans(docs, "embedding", k, p["seed"])
+
+    def weigh(rows: DataFrame) -> DataFrame:
+        return topics.ctfidf(topics.term_counts(rows, words, stopwords=plain_stop, ngram_max=p["ngram_max"]))
+
+    density_run = p["algoritmo_clustering"] == "hdbscan"
+    unit = V.normalized("embedding")
+    for k in [None] if density_run else (k_values or topics.K_VALUES):
+        model = None
+        if density_run:
+            at, title = f"{out}/hdbscan/bertopic_hdbscan/{encoder_slug}", "hdbscan"
+            graph = materialize(neighbours.knn(docs, "doc_id", "embedding", max(
+                p["n_vizinhos"], p["min_topic_size"]), seed=p["seed"]), "vizinhos")
+            assigned = density.fit_density(docs, "doc_id", "embedding", p["min_topic_size"], graph=graph)
+        else:
+            at, title = f"{out}/k{k}/bertopic_kmeans/{encoder_slug}", f"{k}"
+            model, assigned = topics.fit_kmeans(docs, "embedding", k, p["seed"], n_init=p["n_init"])
         assigned = materialize(assigned, "atribuicoes")
-        weights = topics.ctfidf(topics.term_counts(assigned, words, stopwords=plain_stop))
+        if p["nr_topics"]:
+            assigned = materialize(topics.reduce_topics(assigned, weigh(assigned), p["nr_topics"]), "atribuicoes")
+        weights = weigh(assigned)
         keywords = topics.keyword_lists(topics.keywords(weights, p["palavras"], mapping=mapping))
         keywords = materialize(keywords, "palavras")
         line = F.concat(F.col("numero").cast("string"), F.lit(" - "),
                         F.array_join("palavras_chave", " "))
         # one line per topic
         keywords.orderBy("numero").select(line).coalesce(1).write.mode("overwrite").text(
-            f"{at}/result_topic_{k}.txt")
+            f"{at}/result_topic_{title}.txt")
         sinks.write_json(sinks.topic_words_json(keywords), f"{at}/topicos_palavras.json")
         sinks.write_csv(assigned.select(F.col("doc_id").alias("papers"),
                                         F.col("numero").alias("dominant_topic")),
@@ -82,10 +103,17 @@ def fit(corpus: DataFrame, vectors: DataFrame, out: str, entity: str, encoder_sl
             topics.distribution(assigned).join(keywords, "numero", "left"), top, groups, largest)
         spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode(
             "overwrite").text(f"{at}/distribuicao_topicos.txt")
-        topics.centroids(assigned, "embedding").write.mode("overwrite").parquet(f"{at}/centroides")
-        spark.createDataFrame([({**p, "n_topicos_kmeans": k, "algoritmo_clustering": "kmeans"})]
-                              ).write.mode("overwrite").json(f"{at}/parametros_usados.json")
-        model.write().overwrite().save(f"{at}/modelo")
+        if model is not None and not p["nr_topics"]:
+            centers = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.clusterCenters())],
+                                            "numero int, centroide array<double>")
+        else:  # topics without a model of their own are found again by the mean of their members
+            centers = topics.centroids(assigned.withColumn("_u", unit), "_u")
+        centers.write.mode("overwrite").parquet(f"{at}/centroides")
+        used = {**p, "n_topicos_kmeans": k}
+        spark.createDataFrame([(json.dumps(used),)], "value string").coalesce(1).write.mode(
+            "overwrite").text(f"{at}/parametros_usados.json")
+        if model is not None:
+            model.write().overwrite().save(f"{at}/modelo")
 
 
 def load(spark: SparkSession, artefact_root: str, root: str, windowed: bool = False,
@@ -150,10 +178,11 @@ def infer(spark: SparkSession, root: str, artefact_root: str, day: str, days: in
     cleaned = pending.join(names, "entidade_codigo").withColumn(
         "texto", X.strip_name_tokens(clean("texto") if clean else F.col("texto"), "nome_exibicao"))
     ready = materialize(incremental.after_clean(cleaned, "texto"), "pendentes")
-    nothing = spark.createDataFrame([], "id bigint, resumo string, embedding array<float>")
-    vectors = topics.embed_missing(ready, "id", "texto", nothing, embed).select("id", "embedding")
+    vectors = cached_vectors(spark, root, ready, embed)
     centers = run_centroids(spark, artefact_root, tables["modelo"])
-    found = topics.assign_by(ready.select("id", "id_nativo", "modelo_id").join(vectors, "id"),
+    # centres lie among unit vectors, so documents are measured there too
+    unit = vectors.select("id", V.normalized("embedding").alias("embedding"))
+    found = topics.assign_by(ready.select("id", "id_nativo", "modelo_id").join(unit, "id"),
                              "embedding", centers, ["modelo_id"])
     numbered = tables["topico"].select("modelo_id", "numero", F.col("id").alias("topico_id"))
     pairs = materialize(found.join(numbered, ["modelo_id", "numero"]).select(
@@ -162,6 +191,25 @@ def infer(spark: SparkSession, root: str, artefact_root: str, day: str, days: in
     return pairs
 
 
+def cached_vectors(spark: SparkSession, root: str, docs: DataFrame, embed) -> DataFrame:
+    """Vectors (id, embedding) of the documents; those of texts met before come from the cache table.
+
+    New vectors are appended to the cache, so a run that is repeated embeds nothing.
+    """
+    schema, path = "id bigint, resumo string, embedding array<float>", f"{root}/cache_embeddings"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    cache = spark.read.schema(schema).parquet(path) if found else spark.createDataFrame([], schema)
+    new = materialize(topics.embed_missing(docs, "id", "texto", cache, embed), "vetores")
+    keyed = docs.select("id", F.sha2("texto", 256).alias("resumo"))
+    # two runs at once may both have added a vector
+    kept = cache.join(keyed, ["id", "resumo"], "left_semi").dropDuplicates(["id", "resumo"])
+    out = materialize(kept.select(*new.columns).unionByName(new), "vetores").select("id", "embedding")
+    if new.take(1):
+        new.write.mode("append").parquet(path)
+    return out
+
+
 def run_centroids(spark: SparkSession, artefact_root: str, stored: DataFrame) -> DataFrame:
     """Centroids of the windowed runs, under the id of their model."""
     runs = artefacts.discover_windows(spark, artefact_root)

@@ -220,7 +220,7 @@ def test_topic_run_end_to_end(spark, rows):
                                      for r in docs.collect()], "doc_id string, embedding array<float>")
     out = scratch_path(spark, "resultado")
     topic_models.fit(docs, vectors, f"{out}/reddit/ana_lima/semana_2025-12-29", "Ana Lima",
-                     "qwen_qwen3_embedding_0_6b", k_values=[2], min_df=1)
+                     "qwen_qwen3_embedding_0_6b", k_values=[2], min_df=1, n_init=2)
     words = artefacts.read_topic_words(spark, out)
     listed = [r.palavras_chave for r in words.collect()]
     assert len(listed) == 2 and not any("ana" in w or "lima" in w for w in listed)
@@ -242,6 +242,29 @@ def test_topic_run_end_to_end(spark, rows):
     again = topic_models.infer(spark, root, out, "2026-01-08", 7, "2025-12-29", embed,
                                clean=F.lower)
     assert again.count() == 0
+    # the vectors of known texts come from the cache table, so nothing is embedded anew
+    fitted = sinks.read_table(spark, root, "documento_topico").join(pairs, "documento_id", "left_anti")
+    sinks.write_table(fitted, root, "documento_topico")
+
+    def fails(texts):
+        raise RuntimeError("embedded again")
+
+    topic_models.infer(spark, root, out, "2026-01-08", 7, "2025-12-29", fails, clean=F.lower)
+    assert sinks.read_table(spark, root, "documento_topico").count() == 40
+
+    by_density = scratch_path(spark, "densidade")
+    noise = [("longe", [float(i == 2) for i in range(len(embed(["x"])[0]))])]
+    far = docs.limit(1).withColumn("doc_id", F.lit("longe"))
+    topic_models.fit(docs.unionByName(far), vectors.unionByName(spark.createDataFrame(noise, vectors.schema)),
+                     f"{by_density}/reddit/ana_lima/semana_2025-12-29", "Ana Lima", "qwen_qwen3_embedding_0_6b",
+                     min_df=1, algoritmo_clustering="hdbscan", min_topic_size=5, ngram_max=2)
+    at = f"{by_density}/reddit/ana_lima/semana_2025-12-29/hdbscan/bertopic_hdbscan/qwen_qwen3_embedding_0_6b"
+    rows = spark.read.option("header", True).csv(f"{at}/documentos_topicos.csv").collect()
+    found = {r.doc_id: r.topico_dominante for r in rows}
+    assert found.pop("longe") == "-1" and set(found.values()) == {"0", "1"} and len(found) == 30
+    text = spark.read.text(f"{at}/distribuicao_topicos.txt").collect()
+    assert any("Outliers (-1): 1" in r.value for r in text)
+    assert spark.read.parquet(f"{at}/centroides").count() == 2
 
 
 def test_hashtag_table(spark, rows):
