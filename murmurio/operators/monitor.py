@@ -9,11 +9,17 @@ from ..functions import temporal as D
 
 
 def audit_records(raw: DataFrame, native_id: str) -> DataFrame:
-    """Fields the audit needs from a raw collection that already carries ``alvo_coleta_id``."""
+    """Fields the audit needs from a raw collection that already carries ``alvo_coleta_id``.
+
+    A record is processed when it holds the field, also an empty one; a collection read without
+    ``campos`` cannot tell, there a value is asked for.
+    """
+    done = (F.coalesce(F.array_contains("campos", "processed_text"), F.lit(False))
+            if "campos" in raw.columns else F.col("processed_text").isNotNull())
     return raw.select(
         "fonte", F.col(native_id).cast("string").alias("id_nativo"), "alvo_coleta_id",
         D.objectid_time("_id").alias("coletado_em"),
-        F.col("processed_text").isNotNull().alias("processado"),
+        done.alias("processado"),
     )
 
 

@@ -22,8 +22,8 @@ def audit(spark: SparkSession, raw_root: str, alvo: DataFrame,
     report once did; no present target is found that way.
     """
     def raw(name: str, *columns: str) -> DataFrame:
-        return read_raw(spark, f"{raw_root}/{name}", name,
-                        columns=["_id", "processed_text", *columns])
+        return read_raw(spark, f"{raw_root}/{name}", name, presence=True,
+                        columns=["_id", "campos", *columns])
 
     empty = F.lit("")
     term = F.col("_entidade_busca") if with_term else empty
@@ -42,7 +42,7 @@ def audit(spark: SparkSession, raw_root: str, alvo: DataFrame,
         parts.append(df.withColumns({"fonte": F.lit("youtube"), "canal": F.col("channelId"),
                                      "termo_busca": term, "_nativo": F.col(key)}))
     records = [monitor.audit_records(resolve.with_fallback(
-        p.select("_id", "processed_text", "fonte", "canal", "termo_busca", "_nativo"), alvo),
+        p.select("_id", "campos", "fonte", "canal", "termo_busca", "_nativo"), alvo),
         "_nativo") for p in parts]
     out = records[0]
     for r in records[1:]:

@@ -100,9 +100,17 @@ def completeness_markdown(report: DataFrame, daily: DataFrame, generated_at: str
             f"| {r.fonte} | {r.total} | {r.carregados} | {r.nao_processados} | {r.ausentes} | "
             f"{r.sem_alvo} | {r.sem_id} | {r._s} |")
     lines += ["", "## Quantidade diária coletada", "",
+              "O dia é o do `_id` do registro em UTC, isto é, o da coleta.", "",
               "| Data UTC | Plataforma | Documentos |", "|---|---|---:|"]
     for r in daily.orderBy(rank, "fonte", "dia").collect():
         lines.append(f"| {r.dia} | {r.fonte} | {r.documentos} |")
+    lines += [
+        "", "## Critérios", "",
+        "- `Sem pré-processar`: o registro bruto não tem o campo `processed_text`.",
+        "- `Ausentes`: a chave `(alvo_coleta_id, id_nativo)` está nos dados brutos e não na tabela `documento`.",
+        "- `Sem alvo`: nenhum `alvo_coleta` corresponde ao canal e ao termo do registro.",
+        "- `Tudo carregado`: nada está ausente, sem alvo ou sem ID.",
+    ]
     return "\n".join(lines) + "\n"
 
 

@@ -242,3 +242,56 @@ def test_enum_and_registered(spark):
     df = table(spark, [("post",), ("x",), (None,)], "tipo string")
     good, bad = dims.check_enum(df, "tipo", ["post"])
     assert (good.count(), bad.count()) == (1, 2)
+
+
+def test_processed_is_the_presence_of_the_field(spark, tmp_path):
+    from murmurio.operators import monitor
+    from murmurio.sources import raw
+
+    lines = ['{"_id": "%024x", "id": "a", "processed_text": null}' % 1, '{"_id": "%024x", "id": "b"}' % 2,
+             '{"_id": "%024x", "id": "c", "processed_text": "x"}' % 3, "no json"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_path}/reddit")
+    read = raw.read_raw(spark, f"{tmp_path}/reddit", "reddit", presence=True, columns=["_id", "id", "campos"])
+    read = read.withColumns({"fonte": F.lit("reddit"), "alvo_coleta_id": F.lit(1)})
+    got = {r.id_nativo: r.processado for r in monitor.audit_records(read, "id").collect()}
+    assert got == {"a": True, "b": False, "c": True, None: False}
+
+
+def test_merges_equal_average_linkage_one_at_a_time(spark):
+    import random
+
+    from murmurio.operators import topics
+
+    rnd = random.Random(1)
+    pairs = {(a, b): rnd.choice([0.1, 0.5, rnd.random()]) for a in range(9) for b in range(a + 1, 9)}
+    groups, expected = {i: [i] for i in range(9)}, []
+
+    def mean(a, b):
+        every = [pairs[min(x, y), max(x, y)] for x in groups[a] for y in groups[b]]
+        return round(sum(every) / len(every), 9)
+
+    while len(groups) > 1:
+        s, a, b = min((-mean(a, b), a, b) for a in groups for b in groups if a < b)
+        expected.append((a, b, -s))
+        groups[a] += groups.pop(b)
+    df = spark.createDataFrame([(a, b, s) for (a, b), s in pairs.items()], "a int, b int, cosseno double")
+    got = [(r.a, r.b, r.semelhanca) for r in topics.merge_order(df).orderBy("ordem").collect()]
+    assert sorted(got) == sorted(expected) and [g[2] for g in got] == sorted((g[2] for g in got), reverse=True)
+    assert topics.merge_order(df.limit(0)).collect() == []
+
+
+def test_ngrams_and_reduced_topics(spark):
+    from murmurio.operators import topics
+
+    docs = spark.createDataFrame([(1, 0, "alfa beta de gama"), (1, 0, "de beta alfa"), (3, 1, "x"), (4, -1, "alfa"),
+                                  (5, 1, ""), (6, 1, None), (7, 2, "x y de z")], "id int, numero int, t string")
+    stop = spark.createDataFrame([("de",), ("",)], "palavra string")
+    counts = topics.term_counts(docs, F.split("t", " "), stopwords=stop, ngram_max=2)
+    assert sorted(map(tuple, counts.collect())) == [
+        (0, "alfa", 2), (0, "alfa beta", 1), (0, "beta", 2), (0, "beta alfa", 1), (0, "beta gama", 1), (0, "gama", 1),
+        (1, "x", 1), (2, "x", 1), (2, "x y", 1), (2, "y", 1), (2, "y z", 1), (2, "z", 1)]
+    weights = topics.ctfidf(topics.term_counts(docs, F.split("t", " "), stopwords=stop))
+    reduced = topics.reduce_topics(docs.select("id", "numero"), weights, 2)
+    # 1 and 2 share a word, so they are one now, and the largest
+    assert sorted(map(tuple, reduced.collect())) == [(1, 1), (1, 1), (3, 0), (4, -1), (5, 0), (6, 0), (7, 0)]
+    assert topics.reduce_topics(docs.select("id", "numero"), weights, 5).where("numero = 2").count() > 0
