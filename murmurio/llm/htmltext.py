@@ -10,10 +10,14 @@ or the outermost article (else main) element around it, is the article, and its
 (headings, short paragraphs, references) belong to it. Without such an element on a flat page, where
 that is the body, blocks of links are left out.
 
-Nodes inside elements that say by tag, role or class that they are no article (menus, footers,
-adverts, forms, comments ...) take part in nothing. Classes and ids of html, body, main and article
-say nothing, nor does the role, class or id of an element, or a form, that holds most of the page's
-text, unless an article or main element beside it has text (a short article with many comments).
+Nodes inside elements whose tag says that they are no article (menus, footers, asides ...) or that
+are hidden take part in nothing. Roles, classes and ids are a factor of the weight: a container named
+as a whole for such a part ("comments", "ad-slot", also a form) has paths of its own and weighs next
+to nothing, one whose class has such a word among others ("share-prices") a little less than without.
+It goes with all it holds unless most of its text is content. Names of inline elements, headings,
+paragraphs, html, body, main and article say nothing, nor do ids made of several words (anchors of
+headings), nor does the name of an element that holds most of the page's text, unless an article or
+main element beside it has text (a short article with many comments).
 
 Defined results: a null or empty page, or one without content, has an empty text; character
 references are decoded, also those without a semicolon that HTML allows; an open tag at the end of a
@@ -37,7 +41,9 @@ from .batches import extend, schema_with, small_batches
 CONTENT = 0.3       # share of the largest fused weight
 COVER = 0.8         # share of the content text that the article element holds
 SIGMA = 1.0         # of the smoothing, in nodes
-MOST = 0.5          # share of the page's text from which on an element is not left out for its name
+MOST = 0.5          # share of the page's text from which on an element is not left out for its name, and
+                    # share of a named element's text that must be content for it to stay
+NAMED = {"!": 0.05, "?": 0.7}   # factors of paths below an element named as a whole, and in part
 BESIDE = 0.1        # of that element's text: what articles beside it must hold to speak against this
 
 # fixed values: element names of HTML
@@ -51,7 +57,9 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 LISTS = {"ul", "ol", "menu", "dl", "table", "select"}
-ROOTS = {"html", "body", "main", "article"}
+# elements whose names are looked at
+NAMEABLE = BLOCK - {"html", "body", "main", "article", "p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre",
+                    "figcaption", "summary", "hr", "address", "dd", "dt"}
 CONTAINERS = {"article", "main", "body", "div", "section", "td", "html", "#"}
 # words of tags, roles, classes and ids that mark what is no article
 AWAY_TAGS = {"nav", "footer", "aside", "button", "select", "dialog", "menu", "svg", "math", "object", "audio",
@@ -64,42 +72,66 @@ AWAY_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "footer", "masthead", "comment", "comments", "disqus", "reply", "replies", "respond", "share",
               "sharing", "social", "related", "recommended", "recommendations", "newsletter", "subscribe",
               "signup", "login", "toolbar", "pagination", "pager", "copyright", "hidden", "alert", "skip"}
+# words that say where or how something stands, not what it is
+PLACE_WORDS = {"area", "article", "articles", "author", "bar", "block", "blocks", "body", "bottom", "box", "button",
+               "buttons", "center", "col", "column", "container", "content", "desktop", "fixed", "form", "global",
+               "group", "header", "holder", "icons", "inner", "item", "items", "js", "layout", "left", "link", "links",
+               "list", "lists", "main", "message", "messages", "mobile", "outer", "page", "panel", "post", "posts",
+               "primary", "reader", "readers", "region", "right", "row", "secondary", "section", "site", "slot",
+               "sticky", "stories", "story", "thread", "title", "top", "unit", "user", "users", "wrap", "wrapper",
+               "zone"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|[^<]++|<", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
-                        re.I)
+# attributes one after another, so that a value is never searched for names
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s\"'>/=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？؟¿¡]")
 
 
-def _away(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
-    """Whether an element is no article at any rate, and whether its names say so."""
+def _named(name: str, value: str) -> str:
+    """How far a class or an id is that of no article: as a whole ``!``, in part ``?``, not at all."""
+    found = ""
+    for token in value.split():
+        words = [w for w in _SPLIT.split(token) if len(w) > 1]
+        marked = [w for w in words if w in AWAY_WORDS and (w != "hidden" or token == w)]
+        if not marked or words[0] in ("has", "no", "with", "without"):
+            continue
+        if all(w in AWAY_WORDS or w in PLACE_WORDS for w in words):
+            return "!"
+        if name == "class":
+            found = "?"
+    return found
+
+
+def _away(tag: str, attributes: str, inside_article: bool) -> tuple[bool, str]:
+    """Whether an element is no article at any rate, and how far its names say so."""
     if tag in AWAY_TAGS or (tag == "header" and not inside_article):
-        return True, False
-    named = tag == "form"
+        return True, ""
+    named = {"!"} if tag == "form" else set()
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next(filter(None, values), "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True, False
+            return True, ""
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True, False
-        if name == "role" and value in AWAY_ROLES:
-            named = True
-        if name in ("class", "id") and tag not in ROOTS and AWAY_WORDS.intersection(_SPLIT.split(value)):
-            named = True
-    return False, named
+            return True, ""
+        if tag in NAMEABLE:
+            if name == "role" and value in AWAY_ROLES:
+                named.add("!")
+            if name in ("class", "id"):
+                named.add(_named(name, value))
+    return False, "!" if "!" in named else "?" if "?" in named else ""
 
 
 class _Block:
     """A run of text between block boundaries."""
 
-    __slots__ = ("parts", "path", "chain", "linked")
+    __slots__ = ("parts", "path", "chain", "linked", "named")
 
     def __init__(self):
-        self.parts, self.path, self.chain, self.linked = [], "", (), 0
+        self.parts, self.path, self.chain, self.linked, self.named = [], "", (), 0, ()
 
 
 class _Named:
@@ -118,7 +150,7 @@ class _Named:
 
 
 def blocks(html: str) -> list[_Block]:
-    """Blocks of a page in order, without those in elements that are no article."""
+    """Blocks of a page in order, without those in elements that are no article at any rate."""
     out, named = _blocks(html, frozenset())
     kept = named.kept()
     return _blocks(html, kept)[0] if kept else out
@@ -126,7 +158,7 @@ def blocks(html: str) -> list[_Block]:
 
 def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
     out: list[_Block] = []
-    # tag, number of the element, no article at any rate, elements around whose names say so
+    # tag and mark of its name, number of the element, no article at any rate, named elements around
     stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("#", 0, False, ())]
     named = _Named()
     block = _Block()
@@ -140,7 +172,7 @@ def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
 
     def pop(to: int) -> None:
         for tag, *_ in stack[to:]:
-            if tag in BLOCK:
+            if tag.rstrip("!?") in BLOCK:
                 flush()
                 break
         del stack[to:]
@@ -158,8 +190,7 @@ def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
             if stack[-1][3]:
                 for e in stack[-1][3]:
                     named.held[e] += length
-                continue
-            if length and not kept:
+            elif length and not kept:
                 for t, n, *_ in stack:
                     if t in ("article", "main"):
                         named.articles[n] += length
@@ -169,6 +200,7 @@ def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
             if not block.path and text.strip():
                 block.path = "/".join(t for t, *_ in stack)
                 block.chain = tuple(n for _, n, *_ in stack)
+                block.named = stack[-1][3]
             if any(t == "a" for t, *_ in stack):
                 block.linked += length
             continue
@@ -177,7 +209,7 @@ def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
         tag = tag.lower()
         if closing:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
+                if stack[i][0].rstrip("!?") == tag:
                     pop(i)
                     break
             else:
@@ -190,13 +222,13 @@ def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
                 if stack[i][0] == "p":
                     pop(i)
                     break
-                if stack[i][0] in BLOCK:
+                if stack[i][0].rstrip("!?") in BLOCK:
                     break
         if tag in CLOSES:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSES[tag]:
+                if stack[i][0].rstrip("!?") in CLOSES[tag]:
                     pop(i)
-                elif stack[i][0] in LISTS:
+                elif stack[i][0].rstrip("!?") in LISTS:
                     break
         number += 1
         if tag in VOID:
@@ -213,7 +245,7 @@ def _blocks(html: str, kept: frozenset[int]) -> tuple[list[_Block], _Named]:
         away, by_name = _away(tag, attributes, inside)
         if by_name and number not in kept:
             named.around[number] = {n for _, n, *_ in stack}
-            stack.append((tag, number, stack[-1][2] or away, (*stack[-1][3], number)))
+            stack.append((tag + by_name, number, stack[-1][2] or away, (*stack[-1][3], number)))
         else:
             stack.append((tag, number, stack[-1][2] or away, stack[-1][3]))
     flush()
@@ -227,7 +259,12 @@ def path_weights(paths: list[str], lengths: np.ndarray, marks: np.ndarray, linke
     n = np.bincount(of)
     length, mark, link = (np.bincount(of, weights=x) for x in (lengths, marks, linked))
     share = link / np.maximum(length, 1)
-    return (np.log1p(length / n) * np.log1p(mark / n) * (1 - np.minimum(share, 1)))[of]
+    return (np.log1p(length / n) * np.log1p(mark / n) * (1 - np.minimum(share, 1)))[of] * name_factors(paths)
+
+
+def name_factors(paths: list[str]) -> np.ndarray:
+    """Factor of each path for the named elements on it."""
+    return np.array([math.prod(f ** p.count(mark) for mark, f in NAMED.items()) for p in paths])
 
 
 def smooth(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -248,11 +285,18 @@ def extract(html: str | None) -> str:
     linked = np.array([b.linked for b in found], float)
     weight = path_weights([b.path for b in found], lengths, marks, linked)
     fused = weight * smooth(weight)
-    if fused.max() <= 0:
-        fused = lengths * (1 - np.minimum(linked / np.maximum(lengths, 1), 1))
+    plain = np.array(["!" not in b.path for b in found])
+    if fused[plain].max(initial=0) <= 0 and (plain.any() or fused.max() <= 0):  # text without punctuation
+        fused = lengths * (1 - np.minimum(linked / np.maximum(lengths, 1), 1)) * name_factors([b.path for b in found])
     if fused.max() <= 0:
         return ""
     content = fused >= CONTENT * fused.max()
+    shares: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(2))
+    for b, length, chosen in zip(found, lengths, content):
+        for element in b.named:
+            shares[element] += (length, length * chosen)
+    out = {element for element, (length, chosen) in shares.items() if chosen < MOST * length}
+    content &= np.array([out.isdisjoint(b.named) for b in found])
     held: dict[int, float] = defaultdict(float)
     depth: dict[int, int] = {}
     for b, length, chosen in zip(found, lengths, content):
@@ -264,14 +308,14 @@ def extract(html: str | None) -> str:
     article = max(most, key=lambda e: depth[e], default=None)
     if article is not None:  # of one long paragraph or of inline elements it is the container around
         block = next(b for b in found if article in b.chain)
-        tags, i = block.path.split("/"), block.chain.index(article)
+        tags, i = [t.rstrip("!?") for t in block.path.split("/")], block.chain.index(article)
         while i and tags[i] not in CONTAINERS:
             i -= 1
         i = next((tags.index(t) for t in ("article", "main") if t in tags[:i + 1]), i)
         article, flat = block.chain[i], tags[i] in ("#", "html", "body")
     links = linked / np.maximum(lengths, 1)
     return "\n\n".join(t for t, b, chosen, link in zip(texts, found, content, links)
-                       if t and (chosen or (article in b.chain and (link < 0.7 or not flat))))
+                       if t and out.isdisjoint(b.named) and (chosen or (article in b.chain and (link < 0.7 or not flat))))
 
 
 def extract_text(df: DataFrame, *, html: str = "html") -> DataFrame:

@@ -503,6 +503,37 @@ def test_html_names_do_not_drop_the_page(page):
     assert htmltext.extract(page) == PARAGRAPHS
 
 
+PARTS = ["<p title='the {0} cost'>{1}</p>", "<div data-{0}='{0}'>{1}</div>", "<section data-id='{0}-3'>{1}</section>",
+         "<p><a href='/x?id={0}'>{1}</a></p>", "<p class='{0}'>{1}</p>", "<p>The <span class='{0}-term'>term</span>. {1}</p>",
+         "<h2 id='{0}-work'>Heading</h2><p>{1}</p>", "<section id='on-{0}-law'><h2>Heading</h2><p>{1}</p></section>",
+         "<section class='{0}-prices'><h2>Heading</h2><p>{1}</p></section>", "<p>A <a class='{0}-link' href=x>link</a>. {1}</p>",
+         "<div class='overflow-hidden' id='the-{0}'><p>{1}</p></div>", "<blockquote id={0}>{1}</blockquote>"]
+SENTENCE = "A part of the article, as long as others are, with marks; really."
+
+
+@pytest.mark.parametrize("word", sorted(htmltext.AWAY_WORDS))
+def test_html_names_do_not_drop_parts_of_the_article(word):
+    for part in PARTS:
+        for outer in ("article", "div"):
+            page = f"<body><div><a href=z>Elsewhere</a></div><{outer}>{BODY}{part.format(word, SENTENCE)}{BODY}</{outer}></body>"
+            inner = re.sub(r"<h2[^>]*>(.*?)</h2>", r"\1\n\n", part.format(word, SENTENCE))
+            want = re.sub(r"<[^>]*>", "", inner)
+            assert htmltext.extract(page) == f"{PARAGRAPHS}\n\n{want}\n\n{PARAGRAPHS}", page
+
+
+@pytest.mark.parametrize("name", sorted(htmltext.AWAY_WORDS) + ["site-footer", "comment-list", "ad slot", "c-comments__list"])
+def test_html_named_containers_are_left_out(name):
+    other = "<p>Some other words, as long as others are, with marks; really.</p>" * 3
+    for attribute in (f"class='{name}'", f'id="{name}"'):
+        page = f"<body><article>{BODY}<div {attribute}>{other}</div>{BODY}</article><div {attribute}>{other}</div></body>"
+        assert htmltext.extract(page) == f"{PARAGRAPHS}\n\n{PARAGRAPHS}"
+
+
+def test_html_article_without_punctuation_beside_an_advert():
+    page = "<div><p>" + "</p><p>".join(["some words without marks " * 4] * 3) + "</p></div><div class='ad'>Buy now, today. Yes.</div>"
+    assert htmltext.extract(f"<body>{page}</body>") == "\n\n".join([("some words without marks " * 4).strip()] * 3)
+
+
 def test_html_article_is_whole():
     linked = "<ul><li><a href=a>A reference with a long title</a></li></ul>"
     page = f"<body><div><a href=z>Elsewhere</a></div><article><h1>The heading</h1><div>{BODY}</div>{linked}</article></body>"
