@@ -88,7 +88,7 @@ def token_id_orc(table):
            CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN first <> page_id THEN first END AS refers_to FROM f""")
 def warc_normaliser(table):
-    return warc.round_trip(table("pages")).select(
+    return warc.confirmed(warc.round_trip(table("pages"))).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

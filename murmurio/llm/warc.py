@@ -18,6 +18,7 @@ are all responses; a table without rows gives no archive.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 import zlib
@@ -220,11 +221,14 @@ def read_records(normal: DataFrame, folder: str, batch_rows: int = 100) -> DataF
                         head, _, block = whole.partition(b"\r\n\r\n")
                         f = parse_head(head)
                         http, _, payload = block[:int(f["content-length"])].partition(b"\r\n\r\n")
-                        first = f.get("x-refers-to-page")
+                        first, digest = f.get("x-refers-to-page"), f["warc-payload-digest"].removeprefix("sha256:")
+                        size = int(f["x-payload-length"])
+                        if first is None:  # digest and size are those of the bytes read
+                            if (hashlib.sha256(payload).hexdigest(), len(payload)) != (digest, size):
+                                raise ValueError(f"payload of {f['warc-record-id']} differs from its header")
                         held.append((
                             int(f["x-page"]) if "x-page" in f else None, f.get("warc-target-uri"),
-                            payload.decode() if first is None else None, int(f["x-payload-length"]),
-                            f["warc-payload-digest"].removeprefix("sha256:"), f["warc-type"],
+                            payload.decode() if first is None else None, size, digest, f["warc-type"],
                             int(first) if first is not None else None))
                         if len(held) == batch_rows:
                             yield pa.RecordBatch.from_arrays(
@@ -239,6 +243,23 @@ def read_records(normal: DataFrame, folder: str, batch_rows: int = 100) -> DataF
                                   "payload_digest string, record_type string, refers_to bigint")
 
 
+def confirmed(found: DataFrame) -> DataFrame:
+    """Records without url and payload, once every revisit agrees with a response that was read.
+
+    The payload of a response is hashed where it is read; a revisit has none, so its digest and size
+    must be those of the response it refers to, else a ValueError says so.
+    """
+    rows = materialize(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), "warc-read")
+    same = ["refers_to", "payload_bytes", "payload_digest"]
+    # revisits of one response meet it as one row
+    links = rows.where("record_type = 'revisit'").select(same).distinct()
+    answers = rows.where("record_type = 'response'").withColumn("refers_to", F.col("page_id")).select(same)
+    lost = links.join(answers, same, "left_anti").first()
+    if lost:
+        raise ValueError(f"revisits of {lost['refers_to']} differ from their response")
+    return rows
+
+
 def round_trip(pages: DataFrame, *, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Write, normalise and read back archives of the pages below the shared folder."""
     folder = scratch_path(pages.sparkSession, "warc")

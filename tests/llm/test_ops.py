@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from murmurio.llm import (classlm, components, decontamination, hashing, htmltext, neardup, quality, resharding,
                           tokenfiles, toxicity, warc, wordbpe)
+from murmurio.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -238,6 +239,20 @@ def test_warc(spark):
     assert warc.round_trip(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_warc_damage_is_found(spark):
+    pages = spark.createDataFrame([(1, "u", "a" * 200, 1), (2, "u", "a" * 200, 2), (3, "u", "b" * 200, 3)], PAGES)
+    found = warc.round_trip(pages)
+    assert sorted(warc.confirmed(found).select("page_id", "refers_to").collect(), key=repr) == [(1, None), (2, 1), (3, None)]
+    lame = F.when(F.col("record_type") == "revisit", F.lit("0")).otherwise(F.col("payload_digest"))
+    with pytest.raises(ValueError, match="revisits of 1"):
+        warc.confirmed(found.withColumn("payload_digest", lame))
+    planned = warc.plan_records(pages).withColumn("digest", F.lit("0"))
+    folder = scratch_path(spark, "warc")
+    normal = warc.normalise(warc.write_archives(planned, f"{folder}/raw"), f"{folder}/normal")
+    with pytest.raises(Exception, match="differs from its header"):
+        warc.read_records(normal, f"{folder}/normal").collect()
+
+
 def test_warc_cut_stream_fails():
     import io
 
