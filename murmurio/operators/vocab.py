@@ -11,6 +11,9 @@ from ..functions import text as X
 from ..session import materialize
 from .skew import first_per_key, sized
 
+LISTED_BYTES = 4 << 20  # of a list of words that every Python task may hold
+
+
 def doc_freq(docs: DataFrame, tokens: Column) -> DataFrame:
     """Number of documents that hold each token."""
     return docs.select(F.explode(F.array_distinct(tokens)).alias("palavra")).groupBy(
@@ -86,22 +89,45 @@ def filter_by_idf(docs: DataFrame, text: str, percent: float = 0.1) -> DataFrame
     return drop_words(docs, text, low_idf_words(docs, text, percent))
 
 
+def word_list(words: DataFrame, name: str = "palavra") -> tuple[DataFrame, int]:
+    """The distinct words of a frame with a column ``palavra``, written, and about their bytes in memory."""
+    listed = materialize(words.select(F.col("palavra").alias(name)).where(F.col(name).isNotNull()).distinct(), "lista")
+    size = listed.agg(F.coalesce(F.sum(F.octet_length(name) + 64), F.lit(0)).alias("b")).first().b
+    return listed, size
+
+
 def drop_words(docs: DataFrame, text: str, words: DataFrame) -> DataFrame:
     """Texts without the given words (column ``palavra``; null words are ignored).
 
-    The words of each distinct text are looked up once; what a text must lose, a subset of its own
-    words, comes back under the text's digest. So ids need not be unique, a list may be of any
-    length, and a list that Spark can broadcast moves no token at all.
+    A text's words are told by a hash set from those it must lose, however many these are. A list of
+    up to ``LISTED_BYTES`` is that set, in every task. Of a longer one, the words of each distinct
+    text are looked up once; what a text must lose, a subset of its own words, comes back under the
+    text's digest. So ids need not be unique and a list may be of any length.
     """
-    listed = words.select(F.col("palavra").alias("_t")).where("_t is not null").distinct()
+    listed, size = word_list(words, "_t")
+    if size <= LISTED_BYTES:
+        every = docs.sparkSession.sparkContext.broadcast(frozenset(r._t for r in listed.collect()))
+
+        @F.udf("string", useArrow=False)  # a row at a time, as texts may be very long
+        def without_listed(value: str | None) -> str | None:
+            known = every.value
+            return None if value is None else " ".join([word for word in value.split(" ") if word not in known])
+
+        return docs.withColumn(text, without_listed(text)).select(*docs.columns)
+
+    @F.udf("string", useArrow=False)
+    def without(value: str | None, lost: list[str] | None) -> str | None:
+        if value is None or lost is None:
+            return value
+        own = set(lost)
+        return " ".join([word for word in value.split(" ") if word not in own])
+
     digest = F.md5(F.col(text))
     tokens = docs.select(digest.alias("_digest"), F.explode(F.array_distinct(
         F.split(text, " "))).alias("_t"))
     lost = tokens.join(listed, "_t").groupBy("_digest").agg(F.collect_set("_t").alias("_fora"))
-    kept = F.filter(F.split(F.col(text), " "), lambda t: ~F.array_contains("_fora", t))
     marked = docs.withColumn("_digest", digest).join(lost, "_digest", "left")
-    return marked.withColumn(text, F.when(F.col("_fora").isNull(), F.col(text)).otherwise(
-        F.array_join(kept, " "))).select(*docs.columns)
+    return marked.withColumn(text, without(text, "_fora")).select(*docs.columns)
 
 
 def destem(pairs: DataFrame, vowels: bool = False) -> DataFrame:

@@ -211,6 +211,16 @@ def test_drop_words_is_a_set_operation(spark, rows):
     assert rows(vocab.drop_words(docs, "t", words.limit(0)), "id", "t") == rows(docs, "id", "t")
 
 
+def test_drop_words_looks_words_up_by_hash_in_short_and_long_lists(spark, rows, monkeypatch):
+    docs = table(spark, [(1, "a b  a c"), (2, " b"), (3, None), (4, ""), (5, "x"), (1, "a b  a c")], "id int, t string")
+    words = table(spark, [("a",), ("b",), (None,)], "palavra string")
+    for limit in (vocab.LISTED_BYTES, -1):
+        monkeypatch.setattr(vocab, "LISTED_BYTES", limit)
+        got = vocab.drop_words(docs, "t", words)
+        assert rows(got, "id", "t") == [(1, " c"), (1, " c"), (2, ""), (3, None), (4, ""), (5, "x")]
+        assert "array_contains" not in got._jdf.queryExecution().toString()
+
+
 def test_exact_duplicates_of_repeated_and_null_ids(spark, rows):
     docs = table(spark, [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, None), (3, None), (4, ""), (0, "a")],
                  "id int, t string")
