@@ -36,6 +36,7 @@ def df_stopwords(freq: DataFrame, n_docs: int, min_df: int = 1, max_df: float =
 def expand_stopwords(base: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """The words, their forms without accents, and every word of the vocabulary that has one of
     these forms. All frames hold one column ``palavra``."""
+    base = materialize(base.select("palavra"), "palavras")  # used twice, and often counted from texts
     plain = base.select(X.remove_accents("palavra").alias("palavra")).distinct()
     matched = vocabulary.select("palavra", X.remove_accents("palavra").alias("_sem")).join(
         plain.withColumnRenamed("palavra", "_sem"), "_sem", "left_semi").select("palavra")

@@ -221,6 +221,20 @@ def test_drop_words_looks_words_up_by_hash_in_short_and_long_lists(spark, rows,
         assert "array_contains" not in got._jdf.queryExecution().toString()
 
 
+def test_expand_stopwords_counts_its_words_once(spark, rows):
+    words = table(spark, [("ação",), ("acao",), ("fim",)], "palavra string")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(word):
+        seen.add(1)
+        return word
+
+    base = words.where("palavra = 'ação'").select(counted("palavra").alias("palavra"))
+    assert rows(vocab.expand_stopwords(base, words)) == [("acao",), ("ação",)]
+    assert seen.value == 1
+
+
 def test_exact_duplicates_of_repeated_and_null_ids(spark, rows):
     docs = table(spark, [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, None), (3, None), (4, ""), (0, "a")],
                  "id int, t string")
