@@ -197,7 +197,10 @@ def _ngram_counts(rows: DataFrame, tokens: Column, topic: str, stopwords: DataFr
     else:
         numbered = materialize(rows.select(topic, tokens.alias("_t"), F.monotonically_increasing_id().alias("_id")), "textos")
         words = numbered.select(topic, "_id", F.posexplode("_t").alias("_pos", "palavra"))
-        left = words.join(stopwords.select("palavra").distinct(), "palavra", "left_anti")
+        # a list that every executor may hold moves no word but those that are left
+        stop, size = vocab.word_list(stopwords)
+        stop = F.broadcast(stop) if size <= vocab.BROADCAST_BYTES else stop
+        left = words.join(stop, "palavra", "left_anti")
         # a text's words come together again, no more than the text held
         clean = left.groupBy("_id", topic).agg(F.transform(
             F.array_sort(F.collect_list(F.struct("_pos", "palavra"))), lambda x: x["palavra"]).alias("_t"))

@@ -12,6 +12,7 @@ from ..session import materialize
 from .skew import first_per_key, sized
 
 LISTED_BYTES = 4 << 20  # of a list of words that every Python task may hold
+BROADCAST_BYTES = 64 << 20  # of one that every executor may hold
 
 
 def doc_freq(docs: DataFrame, tokens: Column) -> DataFrame:

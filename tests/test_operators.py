@@ -235,6 +235,17 @@ def test_expand_stopwords_counts_its_words_once(spark, rows):
     assert seen.value == 1
 
 
+def test_ngrams_of_lists_of_any_length(spark, rows, monkeypatch):
+    docs = table(spark, [(0, "a b c"), (0, "b"), (1, "c a d")], "numero int, t string")
+    stop = table(spark, [("b",), ("b",), (None,)], "palavra string")
+    expected = [(0, "a", 1), (0, "a c", 1), (0, "c", 1), (1, "a", 1), (1, "a d", 1), (1, "c", 1), (1, "c a", 1), (1, "d", 1)]
+    for limit, kind in ((vocab.BROADCAST_BYTES, True), (-1, False)):
+        monkeypatch.setattr(vocab, "BROADCAST_BYTES", limit)
+        got = topics.term_counts(docs, F.split("t", " "), stopwords=stop, ngram_max=2)
+        assert rows(got) == sorted(expected, key=repr)
+        assert ("strategy=broadcast" in got._jdf.queryExecution().toString()) == kind
+
+
 def test_exact_duplicates_of_repeated_and_null_ids(spark, rows):
     docs = table(spark, [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, None), (3, None), (4, ""), (0, "a")],
                  "id int, t string")
