@@ -1,7 +1,7 @@
 """Keyed writes, target resolution, skew, samples."""
 
 import pytest
-from murmurio.operators import dedup, dims, evaluation, resolve, sampling, skew, topics, upsert, vocab
+from murmurio.operators import dedup, dims, evaluation, resolve, sampling, sentiment, skew, topics, upsert, vocab
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -246,6 +246,22 @@ def test_ngrams_of_lists_of_any_length(spark, rows, monkeypatch):
         assert ("strategy=broadcast" in got._jdf.queryExecution().toString()) == kind
 
 
+def test_cross_validation_takes_texts_apart_once(spark, monkeypatch):
+    texts = [(i, ("bom dia " if i % 2 else "mau tempo ") + f"w{i % 5}", i % 2) for i in range(60)]
+    data = table(spark, texts, "doc int, texto_limpo string, classe int")
+    split = evaluation.kfold(data, "doc", "classe", 3, 42).persist()
+    expected = {}
+    for fold in (1, 2, 3):
+        model = sentiment.fit(split.where(F.col("fold") != fold).drop("fold"), 256)
+        expected |= {r.doc: (r.fold, r.previsto) for r in sentiment.predict(model, split.where(F.col("fold") == fold)).collect()}
+    calls, features = [], sentiment._features
+    monkeypatch.setattr(sentiment, "_features", lambda df: calls.append(1) or features(df))
+    got = sentiment.cross_validate(data, "doc", 3, 42, 256)
+    assert sorted(got.columns) == sorted([*data.columns, "fold", "previsto"])
+    assert {r.doc: (r.fold, r.previsto) for r in got.collect()} == expected
+    assert len(calls) == 1
+
+
 def test_exact_duplicates_of_repeated_and_null_ids(spark, rows):
     docs = table(spark, [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, None), (3, None), (4, ""), (0, "a")],
                  "id int, t string")
