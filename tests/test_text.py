@@ -175,3 +175,12 @@ def test_join_text(spark):
     df = spark.createDataFrame([(" a ", None, ""), (None, " ", None)], "a string, b string, c string")
     assert [r[0] for r in df.select(X.join_text("a", "b", "c")).collect()] == ["a", None]
     assert [r[0] for r in df.select(X.concat_columns("a", "b", "c")).collect()] == [" a   ", "   "]
+
+
+def test_lowered_texts_are_not_lowered_again(spark):
+    df = spark.createDataFrame([("ÀÉ ß… 日本 x😀y",), ("plain",), (None,)], "t string")
+    whole, lowered = X.lowercase_unidecode("t"), X.lowercase_unidecode(F.lower("t"), lowered=True)
+    got = df.select(whole.alias("a"), lowered.alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+    plan = df.select(X.preprocess("t", ["x"]).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("lower(") == 1
