@@ -45,7 +45,7 @@ from .hashing import mix, shingle_sets
 BANDS, ROWS = 24, 5
 BLOCK, BLOCK_SHINGLES = 128, 1_000_000
 MEETINGS = 2  # rounds in which single members of parts meet before blocks do
-BUCKETS = 1 << 20  # of fingerprints, by which texts outside clusters are left out before a shuffle
+BUCKETS = 1 << 20  # of fingerprints, by which texts outside clusters or groups are left out before a shuffle
 CELLS = 1 << 24  # of the membership matrix held at once
 _rng = np.random.default_rng(7)
 _A = (_rng.integers(0, 2**31, (BANDS * ROWS // 2, 1), dtype=np.uint32) * np.uint32(2)) + np.uint32(1)
@@ -218,8 +218,12 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
 ADDED = ["n_shingles", "component_id", "kept", "_class"]
 
 
-def _find(df: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """The rows with columns c0, c1 ... in the order of ``df``, then those of ``ADDED``."""
+def _find(df: DataFrame, key: str, text: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with columns c0, c1 ... in the order of ``df``, then those of ``ADDED``.
+
+    The second frame holds the rows whose fingerprint shares a bucket with no group: each is alone in
+    its component, and none is shuffled.
+    """
     small_batches(df.sparkSession)
     names = df.columns
     df = df.toDF(*[f"c{i}" for i in range(len(names))])
@@ -235,18 +239,23 @@ def _find(df: DataFrame, key: str, text: str, shingle: int, percent: int) -> Dat
     named = materialize(named, "components")
     ids = named.groupBy("_class").agg(F.min("rep").alias("component_id"))
     named = named.join(ids, "_class").select(F.col("_fp").alias("_fp2"), "_class", "component_id")
-    out = signed.drop("_bands").join(named, F.col("_fp") == F.col("_fp2"), "left")
-    out = out.withColumn("component_id", F.when(F.col("_class").isNull(), F.col(key)).otherwise(F.col("component_id")))
-    return out.select(*df.columns, "n_shingles", "component_id",
-                      F.col(key).eqNullSafe(F.col("component_id")).alias("kept"),
-                      F.coalesce("_class", "_fp").alias("_class"))
+    rows = signed.drop("_bands").withColumn("_bucket", F.pmod(F.xxhash64("_fp"), F.lit(BUCKETS)).cast("int"))
+    wanted = F.broadcast(named.select(F.pmod(F.xxhash64("_fp2"), F.lit(BUCKETS)).cast("int").alias("_bucket")).distinct())
+    grouped = rows.join(wanted, "_bucket", "left_semi").join(named, F.col("_fp") == F.col("_fp2"), "left")
+    grouped = grouped.withColumn(
+        "component_id", F.when(F.col("_class").isNull(), F.col(key)).otherwise(F.col("component_id")))
+    alone = rows.join(wanted, "_bucket", "left_anti").withColumns({"component_id": F.col(key), "_class": F.col("_fp")})
+    return tuple(found.select(
+        *df.columns, "n_shingles", "component_id", F.col(key).eqNullSafe(F.col("component_id")).alias("kept"),
+        F.coalesce("_class", "_fp").alias("_class")) for found in (grouped, alone))
 
 
 def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """``df`` with n_shingles, component_id (smallest key of the component), kept (the row has
     that key) and _class (fingerprint of the component; null for an empty text)."""
-    found = _find(df, key, text, shingle, percent)
+    grouped, alone = _find(df, key, text, shingle, percent)
+    found = grouped.unionAll(alone)
     return found.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(df.columns) if n not in ADDED], *ADDED)
 
 
@@ -256,11 +265,12 @@ def deduplicate(df: DataFrame, *, key: str = "doc_id", text: str = "text", shing
 
     Texts without words are kept.
     """
-    found = _find(df, key, text, shingle, percent).where("kept")
+    grouped, alone = _find(df, key, text, shingle, percent)
     k, t = f"c{df.columns.index(key)}", f"c{df.columns.index(text)}"
     # rows of one component that share the smallest key are ranked before they are shuffled
     group = F.coalesce(F.hex("_class"), F.concat(F.lit("-"), F.xxhash64(k, t)))
     rank = F.row_number().over(Window.partitionBy("_group").orderBy(F.md5(F.col(t))))
-    return (found.withColumn("_group", group).withColumn("_rank", rank)
-            .where("_rank = 1 or _class is null")
-            .select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(df.columns)]))
+    first = (grouped.where("kept").withColumn("_group", group).withColumn("_rank", rank)
+             .where("_rank = 1 or _class is null"))
+    names = [F.col(f"c{i}").alias(n) for i, n in enumerate(df.columns)]
+    return first.select(*names).unionAll(alone.select(*names))

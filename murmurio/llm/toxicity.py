@@ -204,13 +204,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     share = F.lit(1_000_000.0 * sample) / F.when(
         F.col("_toxic") == 1, max(1, counts.get(1, 0))).otherwise(max(1, counts.get(0, 0)))
     drawn = marks.where(draw < share).limit(4 * sample)  # at most so many keys are broadcast
-    rows = (docs.select(key, text).join(F.broadcast(drawn), key).select(text, "_toxic")
-            .limit(8 * sample).collect())
-    texts = {1: [], 0: []}
-    for body, toxic in sorted((r[0] or "", int(r[1] == 1)) for r in rows):
-        texts[toxic].append(body)
-    shares = [counts.get(c, 0) / max(1, len(texts[c])) for c in (0, 1)]
-    return train(texts[1], texts[0], max(1.0, shares[0] / max(1.0, shares[1])))
+    rows = docs.select(key, text).join(F.broadcast(drawn), key).select(text, "_toxic").limit(8 * sample)
+    small_batches(docs.sparkSession)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampled = [pair for batch in batches for pair in zip(*(c.to_pylist() for c in batch.columns))]
+        texts = {1: [], 0: []}
+        for body, toxic in sorted((r[0] or "", int(r[1] == 1)) for r in sampled):
+            texts[toxic].append(body)
+        shares = [counts.get(c, 0) / max(1, len(texts[c])) for c in (0, 1)]
+        model = train(texts[1], texts[0], max(1.0, shares[0] / max(1.0, shares[1])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.toxic], pa.binary()), pa.array([model.ordinary], pa.binary()),
+             pa.array([list(model.curve)], pa.list_(pa.float64()))], names=["toxic", "ordinary", "curve"])
+
+    # one task holds the sample, whose windows take many times its size; the driver gets the model alone
+    found = rows.coalesce(1).mapInArrow(learn, "toxic binary, ordinary binary, curve array<double>").collect()
+    if not found:
+        return train([], [])
+    return Classifier(bytes(found[0].toxic), bytes(found[0].ordinary), tuple(found[0].curve))
 
 
 def _counter(model: Classifier):

@@ -105,6 +105,19 @@ def test_deduplicate_keeps_one_of_each(spark, docs):
     assert neardup.deduplicate(empty(spark, docs)).count() == 0
 
 
+def test_deduplicate_shuffles_no_text_that_is_alone(spark, docs, monkeypatch):
+    grouped, alone = neardup._find(docs, "doc_id", "text", 5, 80)
+    found, others = alone.collect(), grouped.collect()
+    assert found and len(found) + len(others) == docs.count() and all(r.kept for r in found)
+    classes = [r._class for r in found if r._class is not None]
+    assert len(classes) == len(set(classes)) and not {r._class for r in others} & set(classes)
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(_fp" not in plan and "SortMergeJoin" not in plan
+    want = sorted(map(repr, neardup.deduplicate(docs).collect()))
+    monkeypatch.setattr(neardup, "BUCKETS", 1)  # all texts are in the bucket of a group
+    assert sorted(map(repr, neardup.deduplicate(docs).collect())) == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in connected(spark, edges)}
@@ -404,6 +417,15 @@ def test_toxicity(spark):
     assert toxicity.score(spark.createDataFrame([], docs.schema), model).count() == 0
 
 
+def test_toxicity_is_learned_in_a_task(spark, monkeypatch):
+    seen, plain = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *given: seen.append(1) or plain(*given))
+    docs = spark.createDataFrame([(i, f"grmpf word{i}" if i % 2 else f"calm word{i}") for i in range(200)], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int"))
+    assert not seen  # nothing of the sample is in the driver
+    assert {(r.doc_id % 2, r.predicted) for r in toxicity.score(docs, model).collect()} == {(0, 0), (1, 1)}
+
+
 def test_toxicity_by_occurrences(spark):
     """A small language whose insults also stand once in many of its ordinary texts is not lost."""
     rows, marks = [], []
