@@ -7,7 +7,8 @@ document in the whole stream from the file it reads, stripes are read in paralle
 keys skips stripes by range and row groups by Bloom filter.
 
 The tokenizer's word step is repeated only for words that a worker has not met: texts are cut at
-spaces that begin a word, and the ids of such a piece come from the library's model once.
+spaces that begin a word and around single line ends, and the ids of such a piece come from the library's
+model once; a word with one mark after it is the word's ids and the mark's.
 
 Defined results: a null or empty text has the end token alone; null keys come first; rows that
 repeat a key are ordered by a hash of their text; a table without rows gives files without rows.
@@ -57,6 +58,42 @@ class Known(dict):
         return value
 
 
+class Spaced(dict):
+    """Ids of pieces after a space, as ``Known``; a piece that begins with ``\\0`` had none before it.
+
+    A piece that no cut can leave, as it is empty or begins with white space, is a ``KeyError``.
+    """
+
+    def __init__(self, model, piece):
+        super().__init__()
+        self.tokenize, self.piece = model.tokenize, piece
+        self.after = {c: self.word(c) for c in ".,;:!?)\""}  # marks that are words of their own after letters
+        self.line = self.word("Ċ")
+
+    def word(self, mapped: str) -> bytes:
+        return array("i", [t.id for t in self.tokenize(mapped)]).tobytes()
+
+    def __missing__(self, key: str) -> bytes:
+        if key.isascii() and key.isalpha():
+            value = array("i", [t.id for t in self.tokenize("Ġ" + key)]).tobytes()  # ASCII letters stand for themselves
+        elif key[-1:] in self.after and key.isascii() and key[:-1].isalpha():
+            value = self[key[:-1]] + self.after[key[-1]]
+        elif key == "\0\n":
+            value = self.line
+        elif key[:1] == "\0" and key[1:2].strip():
+            value = self.piece(key[1:])
+        elif key[:1].strip("\0"):
+            if key[0].isspace():
+                raise KeyError(key)
+            value = self.piece(" " + key)
+        else:
+            raise KeyError(key)
+        if len(self) >= CACHE:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of texts by a byte-level file of the ``tokenizers`` library."""
 
@@ -70,7 +107,7 @@ class Encoder:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if special else None
         self.bytes = str.maketrans({i: c for i, c in enumerate(byte_characters())})
         # a piece after a space, and other words; pieces of one word are in the first alone
-        self.spaced, self.words = Known(lambda piece: self._piece(" " + piece)), Known(self._word)
+        self.spaced, self.words = Spaced(self.model, self._piece), Known(self._word)
 
     def _word(self, mapped: str) -> bytes:
         return array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
@@ -94,10 +131,20 @@ class Encoder:
                          for w in words])
 
     def _plain(self, text: str, out: list[bytes]) -> None:
+        if "\0" not in text:
+            first, *rest = text.replace("\n", " \0\n \0").split(" ")
+            try:
+                found = [self._piece(first)] if first else []
+                found += map(self.spaced.__getitem__, rest)
+            except KeyError:  # a run of white space is one word
+                pass
+            else:
+                out += found
+                return
         first, *rest = _CUT.split(text)
         if first:
             out.append(self._piece(first))
-        out += map(self.spaced.__getitem__, rest)
+        out += [self._piece(" " + piece) if piece[:1] == "\0" else self.spaced[piece] for piece in rest]
 
     def encode(self, text: str | None) -> bytes:
         """Ids as 32-bit integers of this machine."""
@@ -174,7 +221,7 @@ def checksums(rows: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column("ids")
             at = ids.offsets.to_numpy()
-            data = memoryview(ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())
+            data = memoryview(np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), "<i4")).cast("B")
             crc = [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(at[:-1], at[1:])]
             names = [n for n in batch.schema.names if n != "ids"]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(crc, pa.int64())],

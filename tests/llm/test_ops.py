@@ -118,6 +118,22 @@ def test_deduplicate_shuffles_no_text_that_is_alone(spark, docs, monkeypatch):
     assert sorted(map(repr, neardup.deduplicate(docs).collect())) == want
 
 
+def test_token_pieces_end_at_line_ends():
+    import array
+    import random
+
+    encoder = tokenfiles.Encoder(wordbpe.vocabulary_path("byte_bpe_50k.json"))
+    plain = lambda text: array.array("i", encoder.whole.encode(text, add_special_tokens=False).ids).tobytes()
+    text = "ab cd\nab ef.\nAb gh, ab."
+    assert encoder.encode(text) == plain(text)
+    assert not [key for key in encoder.spaced if "\n" in key[:-1]]  # no piece holds words of two lines
+    draw = random.Random(3)
+    signs = [*" \n\0\t\r\x1c\x85 abZé19.,;:!?)\"'<|_-ßЖ中٣", "  ", "\n\n", " \n", "\n ", "'s ", "<|endoftext|>", "word", "ab.", "ab,\n"]
+    for _ in range(3000):
+        text = "".join(draw.choice(signs) for _ in range(draw.randrange(14)))
+        assert encoder.encode(text) == plain(text), repr(text)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in connected(spark, edges)}
