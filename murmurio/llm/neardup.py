@@ -125,17 +125,22 @@ def linked_parts(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def _compare(units: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Per unit its members' fingerprints, each with the smallest one it is linked with there."""
+    """Per unit its members' fingerprints, each with the smallest one it is linked with there.
+
+    Where units have a column part, its values stand for the members.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit, rows in groups(batches, "unit"):
             texts = dict(sorted(zip(rows["_fp"], rows["_text"])))  # one row per class
-            prints = list(texts)
+            names = dict(zip(rows["_fp"], rows["part"]))
+            prints = [names[p] for p in texts]
             part = linked_parts(list(shingle_sets(list(texts.values()), shingle)), percent)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints, pa.binary()), pa.array([prints[i] for i in part], pa.binary()),
                  pa.array([unit] * len(prints), pa.string())], names=["_fp", "label", "unit"])
 
-    return (units.select("unit", "_fp", "_text").repartition("unit").sortWithinPartitions("unit")
+    part = "part" if "part" in units.columns else "_fp"
+    return (units.select("unit", "_fp", "_text", F.col(part).alias("part")).repartition("unit").sortWithinPartitions("unit")
             .mapInArrow(run, "_fp binary, label binary, unit string"))
 
 
@@ -175,7 +180,6 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
     several = first.where("k > 1")
     if not several.take(1):
         return done
-    edges = several.select(F.col("_fp").alias("a"), F.col("label").alias("b"))
     for salt in range(MEETINGS):
         heads = several.where(F.col("_fp") == F.col("label"))
         count = heads.groupBy("root").agg(F.ceil(F.greatest(
@@ -185,10 +189,9 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
         met = materialize(_compare(with_text(heads), shingle, percent).where("_fp <> label"), "meetings")
         if not met.take(1):
             break
-        edges = edges.unionAll(met.select(F.col("_fp").alias("a"), F.col("label").alias("b")))
-        # each met part takes the name of the smallest it is tied to; a part has one head, so names stay true
-        names = connected_components(met.select(F.col("_fp").alias("a"), F.col("label").alias("b")))
-        names = names.select(F.col("node").alias("_node"), F.col("root").alias("_part"))
+        # each met part takes the name of the smallest it is tied to; a part has one head, so names stay true,
+        # and a head meets in one unit, so the ties are stars already
+        names = met.select(F.col("_fp").alias("_node"), F.col("label").alias("_part"))
         several = materialize(several.join(names, F.col("label") == F.col("_node"), "left").withColumn(
             "label", F.coalesce("_part", "label")).drop("_node", "_part"), "parts")
     parts = several.groupBy("root", "label").agg(
@@ -201,7 +204,7 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
         .otherwise(F.concat_ws(":", F.hex("label"), F.pmod(
             F.xxhash64("_fp"), F.ceil(F.col("size")))))).withColumn(
         "owner", F.when(~small, F.col("label")))
-    placed = materialize(placed.select("_fp", "root", "rep", "block", "owner"), "blocks")
+    placed = materialize(placed.select("_fp", "root", "rep", "block", "owner", F.col("label").alias("part")), "blocks")
     blocks = placed.groupBy("root", "block").agg(F.first("owner").alias("owner"))
     other = blocks.select("root", F.col("block").alias("block2"), F.col("owner").alias("owner2"))
     pairs = blocks.join(other, "root").where(
@@ -210,9 +213,11 @@ def _links(signed: DataFrame, classes: DataFrame, key: str, text: str, shingle:
                          F.concat_ws(":", "root", "block", "block2").alias("unit"))
     pairs = pairs.select("root", "unit", F.explode("both").alias("block"))
     more = _compare(with_text(placed.join(pairs, ["root", "block"])), shingle, percent)
-    edges = edges.unionAll(more.select(F.col("_fp").alias("a"), F.col("label").alias("b")))
-    joined = connected_components(edges).select(F.col("node").alias("_fp"), "root")
-    return done.unionAll(joined)
+    # the parts are nodes here, their members follow them
+    names = connected_components(more.select(F.col("_fp").alias("a"), F.col("label").alias("b"))).select(
+        F.col("node").alias("_node"), F.col("root").alias("_part"))
+    return done.unionAll(several.join(names, F.col("label") == F.col("_node"), "left").select(
+        "_fp", F.coalesce("_part", "label").alias("root")))
 
 
 ADDED = ["n_shingles", "component_id", "kept", "_class"]

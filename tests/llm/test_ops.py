@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -141,6 +142,33 @@ def test_components(spark):
     assert connected(spark, []) == []
 
 
+def test_components_stop_when_a_round_leaves_stars(spark, monkeypatch):
+    """No round only confirms the one before, and parts that met in one unit each are not joined again."""
+    written = []
+    plain = components.materialize
+    for module in (components, neardup):
+        monkeypatch.setattr(module, "materialize", lambda df, label: written.append(label) or plain(df, label))
+    stars = [(i, 0) for i in range(1, 50)] + [(i, 100) for i in range(101, 120)]
+    assert {r.node: r.root for r in connected(spark, stars)} == {**{i: 0 for i in range(50)}, **{i: 100 for i in range(100, 120)}}
+    assert written == ["edges", "edges"]
+    draw = random.Random(5)
+    for n, many in ((60, 40), (60, 70), (30, 200)):
+        edges = [(draw.randrange(n), draw.randrange(n)) for _ in range(many)] * 2
+        root = list(range(n))
+        for _ in range(n):
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        assert {r.node: r.root for r in connected(spark, edges)} == {i: root[i] for e in edges if e[0] != e[1] for i in e}
+    written.clear()
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rows = [(i, " ".join(f"n{j}" for j in range(200)) + f" own{i}") for i in range(80)]
+    rows += [(1000 + i, " ".join(f"m{j}" for j in range(100 + 3 * i))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect()), key=repr)
+    assert got == brute_components(rows, 5, 80)
+    assert written.index("blocks") - written.index("meetings") <= 2 * neardup.MEETINGS
+
+
 def connected(spark, edges):
     return components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
 
